@@ -109,13 +109,17 @@ def hash_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.concatenate(found), np.searchsorted(np.concatenate(firsts), offsets)
 
 
+#: Multipliers without a linear relation among few of them.
+FACTORS = mix(np.arange(1000, 1064, dtype=U)) | U(1)
+
+
 def combine(words: np.ndarray, k: int) -> np.ndarray:
     """Hash of each run of k words."""
     n = max(0, len(words) - k + 1)
     total = np.zeros(n, U)
     for i in range(k):
-        total += words[i : i + n] * U((_BASE * (2 * i + 3)) % (1 << 64) | 1)
-    return mix(total)
+        total = mix(total + words[i : i + n] * FACTORS[i % 64])
+    return total
 
 
 def slices(batch: pa.RecordBatch, text: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
