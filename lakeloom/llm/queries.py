@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("line_dedup", "media", "mixing", "chat", "licenses", "minhash")
+_MODULES = ("line_dedup", "media", "mixing", "chat", "licenses", "minhash", "toxicity")
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
