@@ -133,22 +133,22 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, similarity: int) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, other = None, None
-        for b in batches:
-            if not b.num_rows:
-                continue
-            words, at = hash_words(*(lambda d, o: (lowered(d), o))(*buffers(b.column("ta"))))
-            ids, keep = b.column("b").to_pylist(), []
-            for i, hub in enumerate(ids):
-                if hub != known:
-                    hd, ho = buffers(b.column("tb").slice(i, 1))
-                    known, other = hub, shingles(hash_words(lowered(hd), ho)[0], k)
-                own = shingles(words[at[i] : at[i + 1]], k)
-                both = 0
-                if len(own) and len(other):
-                    place = np.minimum(np.searchsorted(other, own), len(other) - 1)
-                    both = int((other[place] == own).sum())
-                keep.append(both > 0 and 100 * both >= similarity * (len(own) + len(other) - both))
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(keep))
+        for whole in batches:
+            for b in slices(whole, "ta", 4 << 20):
+                data, offsets = buffers(b.column("ta"))
+                words, at = hash_words(lowered(data), offsets)
+                keep = []
+                for i, hub in enumerate(b.column("b").to_pylist()):
+                    if hub != known:
+                        hd, ho = buffers(b.column("tb").slice(i, 1))
+                        known, other = hub, shingles(hash_words(lowered(hd), ho)[0], k)
+                    own = shingles(words[at[i] : at[i + 1]], k)
+                    both = 0
+                    if len(own) and len(other):
+                        place = np.minimum(np.searchsorted(other, own), len(other) - 1)
+                        both = int((other[place] == own).sum())
+                    keep.append(both > 0 and 100 * both >= similarity * (len(own) + len(other) - both))
+                yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     needed = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct()
     texts = docs.join(needed, "doc_id", "left_semi")
