@@ -11,7 +11,7 @@ words. A logistic curve, fitted on labelled texts that the models haven't seen,
 Labels are read only where crc32(doc_id) mod 4 is not 2: remainders 0 and 1 train the models, 3 fits
 the curve. The sample is bounded by ``PER_CLASS`` labelled texts of each class and ``CURVE`` texts for
 the curve, the first by md5 of doc_id; grams are counted by Spark into hash slots, so the model that
-tasks receive never exceeds ORDERS x 4 x 2^SLOT_BITS numbers.
+tasks receive never exceeds ORDERS x 4 x 2^SLOT_BITS numbers, of which only filled slots travel.
 
 Nulls and edge cases: a NULL or wordless text scores the share of toxic labels in the sample; so does
 every text if the sample lacks a class (0 without labels). Repeated rows score alike; a label that
@@ -46,14 +46,30 @@ _PART[:48] = _PART[58:65] = _PART[91:97] = _PART[123:128] = True
 
 @dataclass
 class Model:
-    """own[c][k] by gram slot and rest[c][k] by context slot; slope and shift of the curve; prior."""
+    """The filled slots (order, slot, toxic and ordinary share) of grams and contexts; the curve; the prior.
 
-    own: np.ndarray | None
-    rest: np.ndarray | None
+    Only filled slots travel; a task lays them out once as own[c, k] by gram slot, the gram's own share
+    of its context, and rest[c, k] by context slot, what the context leaves to the order below.
+    """
+
+    grams: tuple | None
+    contexts: tuple | None
     slope: float
     shift: float
     prior: float
 
+    def dense(self) -> tuple[np.ndarray, np.ndarray]:
+        if not hasattr(self, "_dense"):
+            own, rest = np.zeros((2, ORDERS, 1 << SLOT_BITS), np.float32), np.ones((2, ORDERS, 1 << SLOT_BITS), np.float32)
+            for into, (k, slot, *shares), of in ((own, self.grams, lambda a: np.minimum(a, 1)), (rest, self.contexts, lambda a: np.clip(1 - a, 1e-3, 1))):
+                for c in (0, 1):
+                    into[c, k, slot] = of(shares[c])
+            self._dense = own, rest
+        return self._dense
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "_dense"}
+
 
 def prepared(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = buffers(pc.utf8_lower(column))
@@ -111,8 +127,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["k", "gram", "ctx", "low", "low_ctx", "start", "n0", "n1"])
 
 
-def _tables(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The models' slots from labelled texts (toxic, text)."""
+def _tables(sample: DataFrame) -> list[tuple]:
+    """The models' filled slots from labelled texts (toxic, text)."""
     kinds = "k long, gram long, ctx long, low long, low_ctx long, start long, n0 long, n1 long"
     seen = saved(sample.mapInArrow(_count, kinds).groupBy("k", "gram", "ctx", "low", "low_ctx", "start").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "tox-grams")
     # raw counts at the top order and for grams at a word's start; kinds of left neighbours elsewhere
@@ -126,15 +142,12 @@ def _tables(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     totals = shared.groupBy("k", "ctx").agg(F.sum("n0").alias("t0"), F.sum("n1").alias("t1"))
     share = lambda n, t: F.when((F.col("pool") >= RARE) & (F.col(n) > DISCOUNT), (F.col(n) - DISCOUNT) / F.col(t)).otherwise(0.0)
     terms = saved(shared.join(totals, ["k", "ctx"]).join(pooled, ["k", "gram"]).select("k", "gram", "ctx", share("n0", "t0").alias("a0"), share("n1", "t1").alias("a1")), "tox-terms")
-    own, rest = np.zeros((2, ORDERS, 1 << SLOT_BITS), np.float32), np.ones((2, ORDERS, 1 << SLOT_BITS), np.float32)
-    for key, into in (("gram", own), ("ctx", rest)):
+    out = []
+    for key in ("gram", "ctx"):
         # at most ORDERS x 2^SLOT_BITS rows
         found = terms.groupBy("k", key).agg(F.sum("a0").alias("a0"), F.sum("a1").alias("a1")).filter("a0 > 0 OR a1 > 0").toArrow()
-        k, slot = found["k"].to_numpy() - 1, found[key].to_numpy()
-        for c in (0, 1):
-            a = found[f"a{c}"].to_numpy()
-            into[c, k, slot] = np.minimum(a, 1) if key == "gram" else np.clip(1 - a, 1e-3, 1)
-    return own, rest
+        out.append(((found["k"].to_numpy() - 1).astype(np.int8), found[key].to_numpy().astype(np.int32), *[found[a].to_numpy().astype(np.float32) for a in ("a0", "a1")]))
+    return out
 
 
 def word_evidence(own: np.ndarray, rest: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -159,7 +172,7 @@ def evidence(model: Model, column: pa.Array) -> np.ndarray:
         return out
     starts, ends = word_spans(data, offsets)
     _, first, which = np.unique(words, return_index=True, return_inverse=True)
-    own = word_evidence(model.own, model.rest, data, starts[first], ends[first])[which]
+    own = word_evidence(*model.dense(), data, starts[first], ends[first])[which]
     length = (ends - starts + 1).astype(float)
     total, bytes_ = np.concatenate([[0], np.cumsum(own)]), np.concatenate([[0], np.cumsum(length)])
     begin, n = np.repeat(at[:-1], sizes), np.repeat(sizes, sizes)
@@ -208,8 +221,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, curve:
     share = sample.agg(F.avg("toxic")).first()[0] or 0.0
     if len(counts) < 2:
         return Model(None, None, 0.0, 0.0, float(share))
-    own, rest = _tables(sample.filter("fold <> 3").select("toxic", "text"))
-    model = Model(own, rest, 1.0, 0.0, float(share))
+    model = Model(*_tables(sample.filter("fold <> 3").select("toxic", "text")), 1.0, 0.0, float(share))
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,7 +246,7 @@ def score_texts(docs: DataFrame, model: Model, into: str = "score") -> DataFrame
         m = shared.value
         for whole in batches:
             for b in slices(whole, "text"):
-                found = np.full(b.num_rows, np.nan) if m.own is None else evidence(m, b.column("text"))
+                found = np.full(b.num_rows, np.nan) if m.grams is None else evidence(m, b.column("text"))
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(score_of(m, found))], [*b.schema.names, into])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(into, T.DoubleType())]))
