@@ -2,14 +2,17 @@
 
 A document's set holds its distinct runs of ``k`` words (A-Z lower-cased); a shorter text's whole
 word sequence is its one element, and a text without words has the empty set. In SuperMinHash each
-element visits the 128 slots in an order of its own with correlated ranks j + r; a text stops early,
-once no slot can still fall. 32 bands of 4 slots miss a pair of similarity 0.8 with probability 5e-8.
-
-Texts with one word sequence form one class. Within a bucket of a band, every class is compared with
-the bucket's smallest one, by whole shingle sets; then components are formed, and the pairs of a
-bucket that still lie in different components are compared as well, in rounds with a new hub each
-while they are many and all at once when they are few. So no link between components is lost, and
-the pairs inside one component are never expanded.
+element visits the 252 slots in an order of its own with correlated ranks j + r; a text stops early,
+once no slot can still fall. 42 bands of 6 slots miss a pair of similarity 0.8 with probability 3e-6.
+
+Texts with one word sequence form one class; classes that share a band form families. Each member
+of a family is compared, by whole shingle sets, with the family's hub, the member with most company
+in the bands. What links with the hub is one component. A pair (X, Y) in which Y doesn't link with hub
+H can still link. With c = (1 - t) / (1 + t) a link needs |X ^ Y| <= c (|X| + |Y|), while
+|Y ^ H| > c (|Y| + |H|); so X ^ H and Y ^ H share s > (|X ^ H| + c (|H| - |X|)) / 2 elements, and any
+|X ^ H| - s + 1 elements of X ^ H hold one of them. Each member offers that many, those that fewest
+others hold, and is compared with the unlinked members that hold one. Links between any two texts of
+a family are so found or ruled out, or lie within a component, without expanding the family into pairs.
 
 Nulls and edge cases: NULL and blank texts link with nothing; a row with NULL doc_id links with
 nothing and is kept; rows that share a doc_id are one node; an empty table gives no rows. Extra
@@ -22,14 +25,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import saved, table
+from .common import forget, saved, table
 from .graph import components
 from .textkit import FACTORS, U, buffers, combine, hash_words, lowered, mix, slices
 
-SLOTS, BAND = 128, 4
+SLOTS, BAND = 252, 6
 SHINGLE, SIMILARITY = 5, 80
 _GOLD = U(0x9E3779B97F4A7C15)
 _TOP = np.iinfo(np.uint64).max
@@ -128,8 +131,13 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, k: int, similarity: int) -> DataFrame:
-    """The pairs (a, b) whose whole shingle sets reach the similarity in percent. docs: one row per node."""
+def compared(pairs: DataFrame, texts: DataFrame, k: int, similarity: int) -> DataFrame:
+    """a, b, linked, size (of a's set), need and differ of each pair (a, b), from whole shingle sets.
+
+    differ: the elements of one set only; need: how many of them are enough to hold one that every
+    text which links with a, but not with b, differs from b in.
+    """
+    c = (100 - similarity) / (100 + similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, other = None, None
@@ -137,68 +145,53 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, similarity: int) -> Data
             for b in slices(whole, "ta", 4 << 20):
                 data, offsets = buffers(b.column("ta"))
                 words, at = hash_words(lowered(data), offsets)
-                keep = []
+                linked, sizes, needs, differ = [], [], [], []
                 for i, hub in enumerate(b.column("b").to_pylist()):
                     if hub != known:
                         hd, ho = buffers(b.column("tb").slice(i, 1))
                         known, other = hub, shingles(hash_words(lowered(hd), ho)[0], k)
                     own = shingles(words[at[i] : at[i + 1]], k)
-                    both = 0
-                    if len(own) and len(other):
-                        place = np.minimum(np.searchsorted(other, own), len(other) - 1)
-                        both = int((other[place] == own).sum())
-                    keep.append(both > 0 and 100 * both >= similarity * (len(own) + len(other) - both))
-                yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    needed = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct()
-    texts = docs.join(needed, "doc_id", "left_semi")
+                    apart = np.setxor1d(own, other, assume_unique=True)
+                    both = (len(own) + len(other) - len(apart)) // 2
+                    linked.append(both > 0 and 100 * both >= similarity * (both + len(apart)))
+                    shared = int(np.floor((len(apart) + c * (len(other) - len(own))) / 2 - 1e-9)) + 1
+                    sizes.append(len(own))
+                    needs.append(min(len(apart), max(0, len(apart) - shared + 1)))
+                    differ.append(apart.view(np.int64))
+                ends = np.zeros(len(differ) + 1, np.int32)
+                np.cumsum([len(x) for x in differ], out=ends[1:])
+                listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(differ)))
+                yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(linked, pa.bool_()), pa.array(sizes, pa.int64()), pa.array(needs, pa.int64()), listed], ["a", "b", "linked", "size", "need", "differ"])
+
     first = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
-    return first.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    both = first.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
+    return both.mapInArrow(run, "a long, b long, linked boolean, size long, need long, differ array<long>")
 
 
-def near_links(reps: DataFrame, docs: DataFrame, k: int, similarity: int, rounds: int = 4, dense: int = 2) -> DataFrame:
-    """(node, component) of the classes that link with another. reps: rep, bands; docs: one row per rep."""
+def near_links(reps: DataFrame, docs: DataFrame, k: int, similarity: int) -> DataFrame:
+    """(node, component) of the classes that link with another. reps: rep, bands; docs: doc_id, text with a row per rep."""
     buckets = saved(reps.select("rep", F.explode("bands").alias("band")), "bands")
-    shared = buckets.groupBy("band").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).filter("hub <> last")
-    links = None
-    members = saved(buckets.join(shared, "band").select("band", "rep", "hub"), "buckets")
-    pairs = saved(members.filter("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct(), "pairs")
-    tried = pairs
-    for turn in range(1, rounds + 2):
-        found = saved(verified(pairs, docs, k, similarity), "links")
-        links = found if links is None else links.unionAll(found)
-        named = saved(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "components")
-        if turn > rounds:
-            break
-        placed = members.join(named, members["rep"] == named["node"], "left").select("band", "rep", F.coalesce("component", "rep").alias("c"))
-        split = placed.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("band")
-        rest = saved(placed.join(split, "band", "left_semi"), "rest")
-        groups = rest.groupBy("band", "c").agg(F.count("*").alias("n"))
-        sums = groups.groupBy("band").agg(F.sum("n").alias("s"), F.sum(F.col("n") * F.col("n")).alias("q"))
-        count, wanted = sums.agg(F.coalesce(F.sum("s"), F.lit(0)), F.coalesce(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2), F.lit(0))).first()
-        if not wanted:
-            break
-        if wanted <= dense * count or turn == rounds:
-            # what is left across components, whole: buckets of a few classes, or few outside the main one
-            other = rest.select("band", F.col("rep").alias("b"), F.col("c").alias("d"))
-            new = rest.join(other, "band").filter("c < d").select(F.greatest("rep", "b").alias("a"), F.least("rep", "b").alias("b"))
-            members = None
-        else:
-            # a hub of another component than the smallest: each member meets one that it hasn't met
-            pick = F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), F.col("rep").alias("r"), F.col("c").alias("k"))
-            hubs = rest.groupBy("band").agg(F.min(pick).alias("p"), F.max(pick).alias("q"))
-            met = rest.join(hubs, "band")
-            one = met.filter(F.col("c") != F.col("p.k")).select(F.col("rep"), F.col("p.r").alias("r"))
-            two = met.filter(F.col("c") != F.col("q.k")).select(F.col("rep"), F.col("q.r").alias("r"))
-            new = one.unionAll(two).select(F.greatest("rep", "r").alias("a"), F.least("rep", "r").alias("b"))
-        pairs = saved(new.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-        tried = tried.unionAll(pairs)
-        if members is None:
-            found = saved(verified(pairs, docs, k, similarity), "links")
-            links = links.unionAll(found)
-            named = saved(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "components")
-            break
-    return named
+    shared = buckets.groupBy("band").agg(F.min("rep").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    members = saved(buckets.join(shared, "band").select("rep", "first", "n"), "buckets")
+    forget(buckets)
+    families = components(members.filter("rep <> first").select(F.col("rep").alias("u"), F.col("first").alias("v")).distinct())
+    company = members.groupBy("rep").agg(F.sum("n").alias("n"))
+    placed = saved(families.join(company, families["node"] == company["rep"]).select("rep", "component", "n"), "families")
+    hubs = placed.groupBy("component").agg(F.max(F.struct("n", (-F.col("rep")).alias("r"))).alias("h")).select("component", (-F.col("h.r")).alias("b"))
+    texts = saved(docs.join(placed.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"), "family-texts")
+    pairs = placed.join(hubs, "component").filter("rep <> b").select(F.col("rep").alias("a"), "b")
+    seen = saved(compared(pairs, texts, k, similarity), "compared")
+    apart = seen.select("a", "b", "linked", "size", "need", F.size("differ").alias("all"), F.explode("differ").alias("e"))
+    loose = apart.filter("NOT linked")
+    held = loose.groupBy("b", "e").agg(F.count("*").alias("n"))
+    others = apart.join(held, ["b", "e"]).withColumn("n", F.col("n") - (~F.col("linked")).cast("int")).filter("n > 0")
+    own = Window.partitionBy("a")
+    offered = others.withColumn("met", F.count("*").over(own)).withColumn("r", F.row_number().over(own.orderBy("n", "e"))).filter(F.col("r") <= F.col("need") - (F.col("all") - F.col("met")))
+    x, y = offered.select("b", "e", F.col("a").alias("x"), F.col("size").alias("sx")), loose.select("b", "e", F.col("a").alias("y"), F.col("size").alias("sy"))
+    like = (F.col("x") != F.col("y")) & (100 * F.least("sx", "sy") >= similarity * F.greatest("sx", "sy"))
+    more = saved(x.join(y, ["b", "e"]).filter(like).select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), "pairs")
+    links = seen.filter("linked").select("a", "b").unionAll(compared(more, texts, k, similarity).filter("linked").select("a", "b"))
+    return components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
 
 def near_dups(docs: DataFrame, k: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
