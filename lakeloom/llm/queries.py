@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("line_dedup", "media", "mixing", "chat", "licenses", "minhash", "toxicity", "decontam", "chaining")
+_MODULES = ("line_dedup", "media", "mixing", "chat", "licenses", "minhash", "toxicity", "decontam", "chaining", "lm")
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
