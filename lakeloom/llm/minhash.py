@@ -137,8 +137,6 @@ def compared(pairs: DataFrame, texts: DataFrame, k: int, similarity: int) -> Dat
     differ: the elements of one set only; need: how many of them are enough to hold one that every
     text which links with a, but not with b, differs from b in.
     """
-    c = (100 - similarity) / (100 + similarity)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, other = None, None
         for whole in batches:
@@ -154,7 +152,8 @@ def compared(pairs: DataFrame, texts: DataFrame, k: int, similarity: int) -> Dat
                     apart = np.setxor1d(own, other, assume_unique=True)
                     both = (len(own) + len(other) - len(apart)) // 2
                     linked.append(both > 0 and 100 * both >= similarity * (both + len(apart)))
-                    shared = int(np.floor((len(apart) + c * (len(other) - len(own))) / 2 - 1e-9)) + 1
+                    # the least whole s above (|apart| + c (|other| - |own|)) / 2, c = (100 - similarity) / (100 + similarity)
+                    shared = (len(apart) * (100 + similarity) + (100 - similarity) * (len(other) - len(own))) // (2 * (100 + similarity)) + 1
                     sizes.append(len(own))
                     needs.append(min(len(apart), max(0, len(apart) - shared + 1)))
                     differ.append(apart.view(np.int64))
@@ -183,13 +182,17 @@ def near_links(reps: DataFrame, docs: DataFrame, k: int, similarity: int) -> Dat
     seen = saved(compared(pairs, texts, k, similarity), "compared")
     apart = seen.select("a", "b", "linked", "size", "need", F.size("differ").alias("all"), F.explode("differ").alias("e"))
     loose = apart.filter("NOT linked")
-    held = loose.groupBy("b", "e").agg(F.count("*").alias("n"))
-    others = apart.join(held, ["b", "e"]).withColumn("n", F.col("n") - (~F.col("linked")).cast("int")).filter("n > 0")
+    # elements with the same holders, such as those of one edit, are one mark: the number and the xor of the holders
+    held = loose.groupBy("b", "e").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a")).alias("mark"))
+    others = apart.join(held, ["b", "e"]).withColumn("met", F.col("n") - (~F.col("linked")).cast("int"))
     own = Window.partitionBy("a")
-    offered = others.withColumn("met", F.count("*").over(own)).withColumn("r", F.row_number().over(own.orderBy("n", "e"))).filter(F.col("r") <= F.col("need") - (F.col("all") - F.col("met")))
-    x, y = offered.select("b", "e", F.col("a").alias("x"), F.col("size").alias("sx")), loose.select("b", "e", F.col("a").alias("y"), F.col("size").alias("sy"))
-    like = (F.col("x") != F.col("y")) & (100 * F.least("sx", "sy") >= similarity * F.greatest("sx", "sy"))
-    more = saved(x.join(y, ["b", "e"]).filter(like).select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), "pairs")
+    shared = others.filter("met > 0")
+    offered = shared.withColumn("some", F.count("*").over(own)).withColumn("r", F.row_number().over(own.orderBy("met", "mark", "e"))).filter(F.col("r") <= F.col("need") - (F.col("all") - F.col("some")))
+    x = offered.select("b", "n", "mark", F.col("a").alias("x"), F.col("size").alias("sx"), "linked").distinct()
+    y = shared.filter("NOT linked").select("b", "n", "mark", F.col("a").alias("y"), F.col("size").alias("sy")).distinct()
+    # of two loose members one offer is enough
+    like = (F.col("x") != F.col("y")) & (F.col("linked") | (F.col("x") < F.col("y"))) & (100 * F.least("sx", "sy") >= similarity * F.greatest("sx", "sy"))
+    more = saved(x.join(y, ["b", "n", "mark"]).filter(like).select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), "pairs")
     links = seen.filter("linked").select("a", "b").unionAll(compared(more, texts, k, similarity).filter("linked").select("a", "b"))
     return components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
