@@ -5,14 +5,18 @@ word sequence is its one element, and a text without words has the empty set. In
 element visits the 252 slots in an order of its own with correlated ranks j + r; a text stops early,
 once no slot can still fall. 42 bands of 6 slots miss a pair of similarity 0.8 with probability 3e-6.
 
-Texts with one word sequence form one class; classes that share a band form families. Each member
-of a family is compared, by whole shingle sets, with the family's hub, the member with most company
+Texts with one word sequence form one class; classes of like size that share a band form families. Each
+member of a family is compared, by whole shingle sets, with the family's hub, the member with most company
 in the bands. What links with the hub is one component. A pair (X, Y) in which Y doesn't link with hub
 H can still link. With c = (1 - t) / (1 + t) a link needs |X ^ Y| <= c (|X| + |Y|), while
 |Y ^ H| > c (|Y| + |H|); so X ^ H and Y ^ H share s > (|X ^ H| + c (|H| - |X|)) / 2 elements, and any
-|X ^ H| - s + 1 elements of X ^ H hold one of them. Each member offers that many, those that fewest
-others hold, and is compared with the unlinked members that hold one. Links between any two texts of
-a family are so found or ruled out, or lie within a component, without expanding the family into pairs.
+|X ^ H| - s + 1 elements of X ^ H hold one of them. Also Y holds at least t |X| elements of X, so any
+|X| - t |X| + 1 elements of X hold one of Y's. Each member offers the rarest elements of either kind,
+whichever fewer others hold, and meets the unlinked members that hold one. A meeting counts if sketches
+of X ^ H and Y ^ H, 512 bits with a bit for each element, have enough in common: bits shared and elements
+that fell on a taken bit bound the shared elements from above. What is left is compared by whole sets. So
+links between any two texts of a family are found or ruled out, or lie within a component, without
+expanding the family into pairs.
 
 Nulls and edge cases: NULL and blank texts link with nothing; a row with NULL doc_id links with
 nothing and is kept; rows that share a doc_id are one node; an empty table gives no rows. Extra
@@ -22,6 +26,8 @@ columns are ignored. Sets are compared by 64-bit hashes of shingles. One text mu
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -131,68 +137,112 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>")
 
 
+SKETCH = [f"s{i}" for i in range(8)]
+COMPARED = "a long, b long, linked boolean, size long, need long, enough long, added array<long>, missing array<long>, " + ", ".join(f"{c} long" for c in SKETCH)
+
+
+def sketch(elements: np.ndarray) -> np.ndarray:
+    """512 bits as 8 numbers, a bit for each element."""
+    bits = np.zeros(512, bool)
+    bits[(mix(elements) >> U(55)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").view(np.int64)
+
+
 def compared(pairs: DataFrame, texts: DataFrame, k: int, similarity: int) -> DataFrame:
-    """a, b, linked, size (of a's set), need and differ of each pair (a, b), from whole shingle sets.
+    """Each pair (a, b) by whole shingle sets: linked, size (of a's set), and the elements added to b's and missing.
 
-    differ: the elements of one set only; need: how many of them are enough to hold one that every
-    text which links with a, but not with b, differs from b in.
+    Of added and missing, any ``need`` hold one that every text has alike which links with a, but not
+    with b; any ``enough`` elements of a's set hold one of every text that links with a.
     """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, other = None, None
         for whole in batches:
             for b in slices(whole, "ta", 4 << 20):
                 data, offsets = buffers(b.column("ta"))
                 words, at = hash_words(lowered(data), offsets)
-                linked, sizes, needs, differ = [], [], [], []
+                linked, sizes, needs, enough, added, missing, bits = [], [], [], [], [], [], []
                 for i, hub in enumerate(b.column("b").to_pylist()):
                     if hub != known:
                         hd, ho = buffers(b.column("tb").slice(i, 1))
                         known, other = hub, shingles(hash_words(lowered(hd), ho)[0], k)
                     own = shingles(words[at[i] : at[i + 1]], k)
-                    apart = np.setxor1d(own, other, assume_unique=True)
-                    both = (len(own) + len(other) - len(apart)) // 2
-                    linked.append(both > 0 and 100 * both >= similarity * (both + len(apart)))
-                    # the least whole s above (|apart| + c (|other| - |own|)) / 2, c = (100 - similarity) / (100 + similarity)
-                    shared = (len(apart) * (100 + similarity) + (100 - similarity) * (len(other) - len(own))) // (2 * (100 + similarity)) + 1
+                    more, less = (np.setdiff1d(x, y, assume_unique=True) for x, y in ((own, other), (other, own)))
+                    apart, both = len(more) + len(less), len(own) - len(more)
+                    linked.append(both > 0 and 100 * both >= similarity * (both + apart))
+                    # the least whole s above (apart + c (|other| - |own|)) / 2, c = (100 - similarity) / (100 + similarity)
+                    shared = (apart * (100 + similarity) + (100 - similarity) * (len(other) - len(own))) // (2 * (100 + similarity)) + 1
                     sizes.append(len(own))
-                    needs.append(min(len(apart), max(0, len(apart) - shared + 1)))
-                    differ.append(apart.view(np.int64))
-                ends = np.zeros(len(differ) + 1, np.int32)
-                np.cumsum([len(x) for x in differ], out=ends[1:])
-                listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(differ)))
-                yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(linked, pa.bool_()), pa.array(sizes, pa.int64()), pa.array(needs, pa.int64()), listed], ["a", "b", "linked", "size", "need", "differ"])
+                    needs.append(min(apart, max(0, apart - shared + 1)))
+                    enough.append(len(own) - -(-similarity * len(own) // 100) + 1)
+                    added.append(more.view(np.int64))
+                    missing.append(less.view(np.int64))
+                    bits.append(sketch(np.concatenate([more, less])))
+                lists = []
+                for found in (added, missing):
+                    ends = np.zeros(len(found) + 1, np.int32)
+                    np.cumsum([len(x) for x in found], out=ends[1:])
+                    lists.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found))))
+                yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(linked, pa.bool_()), *[pa.array(x, pa.int64()) for x in (sizes, needs, enough)], *lists, *[pa.array(x) for x in np.stack(bits, 1)]], [c.split()[0] for c in COMPARED.split(", ")])
 
     first = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
     both = first.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
-    return both.mapInArrow(run, "a long, b long, linked boolean, size long, need long, differ array<long>")
+    return both.mapInArrow(run, COMPARED)
 
 
-def near_links(reps: DataFrame, docs: DataFrame, k: int, similarity: int) -> DataFrame:
-    """(node, component) of the classes that link with another. reps: rep, bands; docs: doc_id, text with a row per rep."""
-    buckets = saved(reps.select("rep", F.explode("bands").alias("band")), "bands")
-    shared = buckets.groupBy("band").agg(F.min("rep").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    members = saved(buckets.join(shared, "band").select("rep", "first", "n"), "buckets")
-    forget(buckets)
+def _hubs(cells: DataFrame) -> DataFrame:
+    """(a, b): each member of a family with the family's hub, the member with most company in its cells."""
+    shared = cells.groupBy("cell").agg(F.min("rep").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    members = saved(cells.join(shared, "cell").select("rep", "first", "n"), "members")
     families = components(members.filter("rep <> first").select(F.col("rep").alias("u"), F.col("first").alias("v")).distinct())
     company = members.groupBy("rep").agg(F.sum("n").alias("n"))
-    placed = saved(families.join(company, families["node"] == company["rep"]).select("rep", "component", "n"), "families")
+    placed = families.join(company, families["node"] == company["rep"]).select("rep", "component", "n")
     hubs = placed.groupBy("component").agg(F.max(F.struct("n", (-F.col("rep")).alias("r"))).alias("h")).select("component", (-F.col("h.r")).alias("b"))
-    texts = saved(docs.join(placed.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"), "family-texts")
-    pairs = placed.join(hubs, "component").filter("rep <> b").select(F.col("rep").alias("a"), "b")
-    seen = saved(compared(pairs, texts, k, similarity), "compared")
-    apart = seen.select("a", "b", "linked", "size", "need", F.size("differ").alias("all"), F.explode("differ").alias("e"))
-    loose = apart.filter("NOT linked")
+    return saved(placed.join(hubs, "component").filter("rep <> b").select(F.col("rep").alias("a"), "b"), "hubs")
+
+
+def _offers(seen: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What members offer, and what unlinked ones hold: b, n and mark of an element, the member, size, all and sketch."""
+    sides = F.concat(F.transform("added", lambda e: F.struct(e.alias("e"), F.lit(True).alias("own"))), F.transform("missing", lambda e: F.struct(e.alias("e"), F.lit(False).alias("own"))))
+    counts = (F.size("added").alias("added"), (F.size("added") + F.size("missing")).alias("all"))
+    apart = seen.select("a", "b", "linked", "size", "need", "enough", *counts, F.inline(sides))
     # elements with the same holders, such as those of one edit, are one mark: the number and the xor of the holders
-    held = loose.groupBy("b", "e").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a")).alias("mark"))
-    others = apart.join(held, ["b", "e"]).withColumn("met", F.col("n") - (~F.col("linked")).cast("int"))
-    own = Window.partitionBy("a")
-    shared = others.filter("met > 0")
-    offered = shared.withColumn("some", F.count("*").over(own)).withColumn("r", F.row_number().over(own.orderBy("met", "mark", "e"))).filter(F.col("r") <= F.col("need") - (F.col("all") - F.col("some")))
-    x = offered.select("b", "n", "mark", F.col("a").alias("x"), F.col("size").alias("sx"), "linked").distinct()
-    y = shared.filter("NOT linked").select("b", "n", "mark", F.col("a").alias("y"), F.col("size").alias("sy")).distinct()
-    # of two loose members one offer is enough
-    like = (F.col("x") != F.col("y")) & (F.col("linked") | (F.col("x") < F.col("y"))) & (100 * F.least("sx", "sy") >= similarity * F.greatest("sx", "sy"))
-    more = saved(x.join(y, ["b", "n", "mark"]).filter(like).select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), "pairs")
+    held = apart.filter("NOT linked").groupBy("b", "e").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a")).alias("mark"))
+    shared = saved(apart.join(held, ["b", "e"]).withColumn("met", F.col("n") - (~F.col("linked")).cast("int")), "shared")
+    # what no other holds is offered first and for nothing
+    each, kind = Window.partitionBy("a"), Window.partitionBy("a", "own")
+    rank = lambda w: F.row_number().over(w.orderBy("met", "mark", "e"))
+    ranked = shared.filter("met > 0").withColumn("one", rank(each) <= F.col("need") - (F.col("all") - F.count("*").over(each)))
+    ranked = ranked.withColumn("two", F.col("own") & (F.col("enough") <= F.col("added")) & (rank(kind) <= F.col("enough") - (F.col("added") - F.count("*").over(kind))))
+    load = lambda c: F.sum(F.when(F.col(c), F.col("met")).otherwise(0)).over(each)
+    chosen = F.when((F.col("enough") <= F.col("added")) & (load("two") < load("one")), F.col("two")).otherwise(F.col("one"))
+    about = seen.select("a", "linked", "size", (F.size("added") + F.size("missing")).alias("all"), *SKETCH)
+    offered = ranked.withColumn("chosen", chosen).filter("chosen").select("b", "n", "mark", "a").distinct()
+    holding = shared.filter("NOT linked").select("b", "n", "mark", "a").distinct()
+    return offered.join(about, "a"), holding.join(about, "a")
+
+
+def near_links(reps: DataFrame, docs: DataFrame, k: int, similarity: int) -> DataFrame:
+    """(node, component) of the classes that link with another. reps: rep, size, bands; docs: doc_id, text with a row per rep."""
+    bands = saved(reps.select("rep", "size", F.explode("bands").alias("band")), "bands")
+    shared = bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
+    # sizes of linked texts differ by less than a class, so texts of one or of neighbouring classes meet in a cell
+    step = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(101 / similarity))).cast("int")
+    cells = saved(bands.join(shared, "band", "left_semi").select("rep", F.explode(F.array(step, step + 1)).alias("step"), "band").select("rep", F.xxhash64("band", "step").alias("cell")), "cells")
+    forget(bands)
+    pairs = _hubs(cells)
+    needed = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct()
+    texts = saved(docs.join(needed, "doc_id", "left_semi"), "family-texts")
+    seen = saved(compared(pairs, texts, k, similarity), "compared")
+    offered, holding = _offers(seen)
+    x = offered.select("b", "n", "mark", *[F.col(c).alias(f"x_{c}") for c in ("a", "linked", "size", "all", *SKETCH)])
+    y = holding.select("b", "n", "mark", *[F.col(c).alias(f"y_{c}") for c in ("a", "size", "all", *SKETCH)])
+    bits = lambda of: reduce(add, [F.bit_count(of(c)) for c in SKETCH])
+    alike = bits(lambda c: F.col(f"x_{c}").bitwiseAND(F.col(f"y_{c}"))) + F.least(*[F.col(f"{z}_all") - bits(lambda c, z=z: F.col(f"{z}_{c}")) for z in "xy"])
+    enough = 2 * (100 + similarity) * alike >= (100 + similarity) * (F.col("x_all") + F.col("y_all")) - (100 - similarity) * (F.col("x_size") + F.col("y_size"))
+    # of two unlinked members one offer is enough
+    like = (F.col("x_a") != F.col("y_a")) & (F.col("x_linked") | (F.col("x_a") < F.col("y_a"))) & (100 * F.least("x_size", "y_size") >= similarity * F.greatest("x_size", "y_size")) & enough
+    more = saved(x.join(y, ["b", "n", "mark"]).filter(like).select(F.greatest("x_a", "y_a").alias("a"), F.least("x_a", "y_a").alias("b")).distinct(), "pairs")
     links = seen.filter("linked").select("a", "b").unionAll(compared(more, texts, k, similarity).filter("linked").select("a", "b"))
     return components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
@@ -201,8 +251,8 @@ def near_dups(docs: DataFrame, k: int = SHINGLE, similarity: int = SIMILARITY) -
     """doc_id, n_shingles, component_id, kept of each row of docs (doc_id, text)."""
     own = saved(signatures(docs, k), "signatures")
     filled = own.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = saved(filled.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes")
-    reps = classes.groupBy("rep").agg(F.flatten(F.collect_list("bands")).alias("bands"))
+    classes = saved(filled.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("size"), F.first("bands").alias("bands")), "classes")
+    reps = classes.select("rep", "size", "bands")
     named = near_links(reps, docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id IS NOT NULL"), k, similarity)
     least = classes.select("k1", "k2", "rep").join(named.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("least"))
     joined = own.join(least, ["k1", "k2"], "left")
