@@ -67,5 +67,13 @@ def forget(df: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def small_batches(spark: SparkSession, most: int = 16 << 20) -> None:
+    """Arrow batches of the session at most so large: a task holds a batch several times, in the JVM and in Python."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key, "67108864b").lower().rstrip("b")
+    if not now.isdigit() or int(now) <= 0 or int(now) > most:
+        spark.conf.set(key, str(most))
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -27,12 +27,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_fold, saved, shuffle_parts, table
+from .common import crc_fold, saved, shuffle_parts, small_batches, table
 from .textkit import FACTORS, U, buffers, hash_words, lowered, mix, slices
 
 FOLDS, DELETED = 10, 1
 #: Bytes of text in a block, and tokens for each part of the hash range.
-BLOCK, PART = 8 << 20, 4_000_000
+BLOCK, PART = 4 << 20, 4_000_000
 BUCKETS = 33
 _END = U(0x5D1E0F3A9B7C2461)
 _ZSTD = pa.Codec("zstd")
@@ -215,6 +215,7 @@ SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 def score(docs: DataFrame) -> DataFrame:
     """The scores of docs (doc_id, text); texts whose fold is 0 are held out of all counts."""
     spark = docs.sparkSession
+    small_batches(spark)
     made = saved(blocks(docs.select(F.col("doc_id").cast("long"), crc_fold("doc_id", FOLDS).cast("int").alias("fold"), "text")), "lm-blocks")
     tokens = made.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     parts = int(min(1 << 30, max(shuffle_parts(spark), tokens // PART + 1)))
