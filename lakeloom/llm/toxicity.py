@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc_fold, saved, table
+from .common import crc_fold, saved, small_batches, table
 from .textkit import U, buffers, hash_words, mix, slices, word_spans
 
 ORDERS, SHARED, RARE, DISCOUNT = 5, 2, 4, 0.75
@@ -209,6 +209,7 @@ def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, curve: int = CURVE) -> Model:
     """Fit on docs (doc_id, text) and labels (doc_id, toxic)."""
     spark = docs.sparkSession
+    small_batches(spark)
     known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     known = known.withColumn("fold", crc_fold("doc_id", 4)).withColumn("key", F.md5(F.col("doc_id").cast("string")))
     first = lambda rows, n: rows.orderBy("key", "doc_id").limit(n)
@@ -226,7 +227,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, curve:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for part in slices(b, "text"):
+            for part in slices(b, "text", 2 << 20):
                 yield pa.RecordBatch.from_arrays([part.column("toxic").cast(pa.int64()), pa.array(evidence(shared.value, part.column("text")))], ["y", "x"])
 
     held = sample.filter("fold = 3")
@@ -240,12 +241,13 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, curve:
 
 def score_texts(docs: DataFrame, model: Model, into: str = "score") -> DataFrame:
     """docs with the double column ``into`` from its column text."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for whole in batches:
-            for b in slices(whole, "text"):
+            for b in slices(whole, "text", 2 << 20):
                 found = np.full(b.num_rows, np.nan) if m.grams is None else evidence(m, b.column("text"))
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(score_of(m, found))], [*b.schema.names, into])
 
