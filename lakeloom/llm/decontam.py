@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table
+from .common import small_batches, table
 from .textkit import slices
 
 ERRORS, MIN_CHARS, BLOCK_CHARS = 8, 40, 4_000_000
@@ -143,6 +143,7 @@ MATCHES = "item_id long, distance int, start long, end long"
 
 def matches(docs: DataFrame, benchmark: DataFrame, errors: int = ERRORS, min_chars: int = MIN_CHARS) -> DataFrame:
     """doc_id, item_id, distance, start, end of each item found in each row of docs (doc_id, text)."""
+    small_batches(docs.sparkSession)
     found = None
     for matcher in blocks(benchmark, errors, min_chars):
         shared = docs.sparkSession.sparkContext.broadcast(matcher.items)
@@ -163,6 +164,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, errors: int = ERRORS, min_cha
 
 def clean(docs: DataFrame, benchmark: DataFrame, errors: int = ERRORS, min_chars: int = MIN_CHARS) -> DataFrame:
     """The rows of docs that hold no item. Each row is judged by its own text, so nothing is shuffled."""
+    small_batches(docs.sparkSession)
     for matcher in blocks(benchmark, errors, min_chars):
         shared = docs.sparkSession.sparkContext.broadcast(matcher.items)
 

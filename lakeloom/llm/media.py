@@ -31,7 +31,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, scratch_path, table
+from .common import saved, scratch_path, small_batches, table
 from .textkit import buffers, slices
 
 WIDTH = 192
@@ -139,6 +139,7 @@ def write_shards(docs: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES) -
         if shard is not None:
             shard.close()
 
+    small_batches(docs.sparkSession)
     return saved(docs.select("doc_id", "text").mapInArrow(run, INDEX), "media-index")
 
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import forget, saved, table
+from .common import forget, saved, small_batches, table
 from .graph import components
 from .textkit import FACTORS, U, buffers, combine, hash_words, lowered, mix, slices
 
@@ -249,6 +249,7 @@ def near_links(reps: DataFrame, docs: DataFrame, k: int, similarity: int) -> Dat
 
 def near_dups(docs: DataFrame, k: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of each row of docs (doc_id, text)."""
+    small_batches(docs.sparkSession)
     own = saved(signatures(docs, k), "signatures")
     filled = own.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = saved(filled.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("size"), F.first("bands").alias("bands")), "classes")

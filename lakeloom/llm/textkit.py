@@ -122,7 +122,7 @@ def combine(words: np.ndarray, k: int) -> np.ndarray:
     return total
 
 
-def slices(batch: pa.RecordBatch, text: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about ``most`` bytes of text each, one row at least."""
     at = 0
     if not batch.num_rows:
