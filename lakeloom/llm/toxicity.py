@@ -11,7 +11,7 @@ words. A logistic curve, fitted on labelled texts that the models haven't seen,
 Labels are read only where crc32(doc_id) mod 4 is not 2: remainders 0 and 1 train the models, 3 fits
 the curve. The sample is bounded by ``PER_CLASS`` labelled texts of each class and ``CURVE`` texts for
 the curve, the first by md5 of doc_id; grams are counted by Spark into hash slots, so the model that
-tasks receive never exceeds ORDERS x 4 x 2^SLOT_BITS numbers, of which only filled slots travel.
+tasks receive never exceeds 4 x 2^b numbers for each b in SLOT_BITS, of which only filled slots travel.
 
 Nulls and edge cases: a NULL or wordless text scores the share of toxic labels in the sample; so does
 every text if the sample lacks a class (0 without labels). Repeated rows score alike; a label that
@@ -35,7 +35,8 @@ from .common import crc_fold, saved, small_batches, table
 from .textkit import U, buffers, hash_words, mix, slices, word_spans
 
 ORDERS, SHARED, RARE, DISCOUNT = 5, 2, 4, 0.75
-SLOT_BITS = 20
+#: Bits of a slot by order: one byte has few grams, two have some.
+SLOT_BITS = (8, 16, 20, 20, 20)
 WINDOW = 3
 PER_CLASS, CURVE = 8000, 8000
 THRESHOLD = 0.3
@@ -48,8 +49,8 @@ _PART[:48] = _PART[58:65] = _PART[91:97] = _PART[123:128] = True
 class Model:
     """The filled slots (order, slot, toxic and ordinary share) of grams and contexts; the curve; the prior.
 
-    Only filled slots travel; a task lays them out once as own[c, k] by gram slot, the gram's own share
-    of its context, and rest[c, k] by context slot, what the context leaves to the order below.
+    Only filled slots travel; a task lays them out once as own[c][k] by gram slot, the gram's own share
+    of its context, and rest[c][k] by context slot, what the context leaves to the order below.
     """
 
     grams: tuple | None
@@ -58,12 +59,13 @@ class Model:
     shift: float
     prior: float
 
-    def dense(self) -> tuple[np.ndarray, np.ndarray]:
+    def dense(self) -> tuple[list, list]:
         if not hasattr(self, "_dense"):
-            own, rest = np.zeros((2, ORDERS, 1 << SLOT_BITS), np.float32), np.ones((2, ORDERS, 1 << SLOT_BITS), np.float32)
+            own, rest = ([[make(1 << bits, np.float32) for bits in SLOT_BITS] for _ in (0, 1)] for make in (np.zeros, np.ones))
             for into, (k, slot, *shares), of in ((own, self.grams, lambda a: np.minimum(a, 1)), (rest, self.contexts, lambda a: np.clip(1 - a, 1e-3, 1))):
                 for c in (0, 1):
-                    into[c, k, slot] = of(shares[c])
+                    for j in range(ORDERS):
+                        into[c][j][slot[k == j]] = of(shares[c][k == j])
             self._dense = own, rest
         return self._dense
 
@@ -99,15 +101,15 @@ def grams(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.nd
             g = g * U(257) + near[j]
             if j:
                 c = c * U(257) + near[j]
-        found.append((mix(g + U(k << 60)) >> U(64 - SLOT_BITS)).astype(np.int64))
-        contexts.append((mix(c + U((k << 60) + (1 << 59))) >> U(64 - SLOT_BITS)).astype(np.int64))
+        found.append((mix(g + U(k << 60)) >> U(64 - SLOT_BITS[k - 1])).astype(np.int32))
+        contexts.append((mix(c + U((k << 60) + (1 << 59))) >> U(64 - SLOT_BITS[k - 1])).astype(np.int32))
     return word, found, contexts, place
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (k, gram, ctx, low, low_ctx, start, n0, n1) of a batch of (toxic, text)."""
     for whole in batches:
-        for b in slices(whole, "text", 2 << 20):
+        for b in slices(whole, "text", 1 << 20):
             data, offsets = prepared(b.column("text"))
             words, at = hash_words(data, offsets)
             starts, ends = word_spans(data, offsets)
@@ -119,7 +121,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for k in range(1, ORDERS + 1):
                 low, low_ctx = (found[k - 2], contexts[k - 2]) if k > 1 else (found[0], contexts[0])
                 # one gram always has one context, so slots of gram and context name the row
-                keys, row = np.unique(found[k - 1] << SLOT_BITS | contexts[k - 1], return_inverse=True)
+                keys, row = np.unique(found[k - 1].astype(np.int64) << 32 | contexts[k - 1], return_inverse=True)
                 one = np.zeros(len(keys), np.int64)
                 one[row] = np.arange(len(row))
                 # place < k - 1: the gram takes in the mark before the word
@@ -144,20 +146,20 @@ def _tables(sample: DataFrame) -> list[tuple]:
     terms = saved(shared.join(totals, ["k", "ctx"]).join(pooled, ["k", "gram"]).select("k", "gram", "ctx", share("n0", "t0").alias("a0"), share("n1", "t1").alias("a1")), "tox-terms")
     out = []
     for key in ("gram", "ctx"):
-        # at most ORDERS x 2^SLOT_BITS rows
+        # at most a row for each slot of each order
         found = terms.groupBy("k", key).agg(F.sum("a0").alias("a0"), F.sum("a1").alias("a1")).filter("a0 > 0 OR a1 > 0").toArrow()
         out.append(((found["k"].to_numpy() - 1).astype(np.int8), found[key].to_numpy().astype(np.int32), *[found[a].to_numpy().astype(np.float32) for a in ("a0", "a1")]))
     return out
 
 
-def word_evidence(own: np.ndarray, rest: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def word_evidence(own: list, rest: list, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """log P(word | toxic) - log P(word | ordinary)."""
     word, found, contexts, _ = grams(data, starts, ends)
     logs = []
     for c in (0, 1):
         p = np.full(len(word), 0.01)
         for k in range(ORDERS):
-            p = own[c, k][found[k]] + rest[c, k][contexts[k]] * p
+            p = own[c][k][found[k]] + rest[c][k][contexts[k]] * p
         logs.append(np.log(p))
     return np.bincount(word, logs[1] - logs[0], minlength=len(starts))
 
@@ -227,11 +229,12 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, curve:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for part in slices(b, "text", 2 << 20):
+            for part in slices(b, "text", 1 << 20):
                 yield pa.RecordBatch.from_arrays([part.column("toxic").cast(pa.int64()), pa.array(evidence(shared.value, part.column("text")))], ["y", "x"])
 
     held = sample.filter("fold = 3")
     seen = (held if held.limit(1).count() else sample).select("toxic", "text").mapInArrow(run, "y long, x double").toArrow()
+    shared.unpersist()
     x, y = seen["x"].to_numpy(), seen["y"].to_numpy().astype(float)
     keep = ~np.isnan(x)
     if keep.sum() and 0 < y[keep].sum() < keep.sum():
@@ -247,7 +250,7 @@ def score_texts(docs: DataFrame, model: Model, into: str = "score") -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for whole in batches:
-            for b in slices(whole, "text", 2 << 20):
+            for b in slices(whole, "text", 1 << 20):
                 found = np.full(b.num_rows, np.nan) if m.grams is None else evidence(m, b.column("text"))
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(score_of(m, found))], [*b.schema.names, into])
 
