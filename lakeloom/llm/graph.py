@@ -43,14 +43,15 @@ def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the node's smallest neighbour."""
     both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    # saved, so that a node with very many neighbours is a join's skewed key that Spark can split
+    least = saved(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
     return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every smaller neighbour of a node, and the node, are tied to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = saved(down.groupBy("u").agg(F.min("v").alias("m")), "least")
     rest = down.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return rest.unionAll(least.select("u", F.col("m").alias("v")))
 
@@ -65,7 +66,9 @@ def components(edges: DataFrame) -> DataFrame:
     now = saved(edges.filter("u <> v").select(F.greatest("u", "v").cast("long").alias("u"), F.least("u", "v").cast("long").alias("v")).mapInArrow(_local, "u long, v long").distinct(), "edges")
     state = None
     while True:
-        then = saved(_small_star(_large_star(now)).filter("u <> v").distinct(), "edges")
+        large = saved(_large_star(now), "edges")
+        then = saved(_small_star(large).filter("u <> v").distinct(), "edges")
+        forget(large)
         seen = then.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         forget(now)
         now = then
