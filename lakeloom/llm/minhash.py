@@ -6,8 +6,8 @@ element visits the 252 slots in an order of its own with correlated ranks j + r;
 once no slot can still fall. 42 bands of 6 slots miss a pair of similarity 0.8 with probability 3e-6.
 
 Texts with one word sequence form one class; classes of like size that share a band form families. Each
-member of a family is compared, by whole shingle sets, with the family's hub, the member with most company
-in the bands. What links with the hub is one component. A pair (X, Y) in which Y doesn't link with hub
+member of a family is compared, by whole shingle sets, with a hub of its size, the member with most company
+in the bands; of two that can link, one hub at least is common. What links with the hub is one component. A pair (X, Y) in which Y doesn't link with hub
 H can still link. With c = (1 - t) / (1 + t) a link needs |X ^ Y| <= c (|X| + |Y|), while
 |Y ^ H| > c (|Y| + |H|); so X ^ H and Y ^ H share s > (|X ^ H| + c (|H| - |X|)) / 2 elements, and any
 |X ^ H| - s + 1 elements of X ^ H hold one of them. Also Y holds at least t |X| elements of X, so any
@@ -190,15 +190,19 @@ def compared(pairs: DataFrame, texts: DataFrame, k: int, similarity: int) -> Dat
     return both.mapInArrow(run, COMPARED)
 
 
-def _hubs(cells: DataFrame) -> DataFrame:
-    """(a, b): each member of a family with the family's hub, the member with most company in its cells."""
+def _hubs(cells: DataFrame, sizes: DataFrame, similarity: int) -> DataFrame:
+    """(a, b): each member of a family with a hub of its size, the member with most company in its cells.
+
+    A family has a hub for each class of sizes, and a member belongs to two, so linked texts share one.
+    """
     shared = cells.groupBy("cell").agg(F.min("rep").alias("first"), F.count("*").alias("n")).filter("n > 1")
     members = saved(cells.join(shared, "cell").select("rep", "first", "n"), "members")
     families = components(members.filter("rep <> first").select(F.col("rep").alias("u"), F.col("first").alias("v")).distinct())
     company = members.groupBy("rep").agg(F.sum("n").alias("n"))
-    placed = families.join(company, families["node"] == company["rep"]).select("rep", "component", "n")
-    hubs = placed.groupBy("component").agg(F.max(F.struct("n", (-F.col("rep")).alias("r"))).alias("h")).select("component", (-F.col("h.r")).alias("b"))
-    return saved(placed.join(hubs, "component").filter("rep <> b").select(F.col("rep").alias("a"), "b"), "hubs")
+    step = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(101 / similarity))).cast("int")
+    placed = families.join(company, families["node"] == company["rep"]).join(sizes, "rep").select("rep", "component", "n", F.explode(F.array(step, step + 1)).alias("class"))
+    hubs = placed.groupBy("component", "class").agg(F.max(F.struct("n", (-F.col("rep")).alias("r"))).alias("h")).select("component", "class", (-F.col("h.r")).alias("b"))
+    return saved(placed.join(hubs, ["component", "class"]).filter("rep <> b").select(F.col("rep").alias("a"), "b").distinct(), "hubs")
 
 
 def _offers(seen: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -210,27 +214,28 @@ def _offers(seen: DataFrame) -> tuple[DataFrame, DataFrame]:
     held = apart.filter("NOT linked").groupBy("b", "e").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a")).alias("mark"))
     shared = saved(apart.join(held, ["b", "e"]).withColumn("met", F.col("n") - (~F.col("linked")).cast("int")), "shared")
     # what no other holds is offered first and for nothing
-    each, kind = Window.partitionBy("a"), Window.partitionBy("a", "own")
+    each, kind = Window.partitionBy("a", "b"), Window.partitionBy("a", "b", "own")
     rank = lambda w: F.row_number().over(w.orderBy("met", "mark", "e"))
     ranked = shared.filter("met > 0").withColumn("one", rank(each) <= F.col("need") - (F.col("all") - F.count("*").over(each)))
     ranked = ranked.withColumn("two", F.col("own") & (F.col("enough") <= F.col("added")) & (rank(kind) <= F.col("enough") - (F.col("added") - F.count("*").over(kind))))
     load = lambda c: F.sum(F.when(F.col(c), F.col("met")).otherwise(0)).over(each)
     chosen = F.when((F.col("enough") <= F.col("added")) & (load("two") < load("one")), F.col("two")).otherwise(F.col("one"))
-    about = seen.select("a", "linked", "size", (F.size("added") + F.size("missing")).alias("all"), *SKETCH)
+    about = seen.select("a", "b", "linked", "size", (F.size("added") + F.size("missing")).alias("all"), *SKETCH)
     offered = ranked.withColumn("chosen", chosen).filter("chosen").select("b", "n", "mark", "a").distinct()
     holding = shared.filter("NOT linked").select("b", "n", "mark", "a").distinct()
-    return offered.join(about, "a"), holding.join(about, "a")
+    return offered.join(about, ["a", "b"]), holding.join(about, ["a", "b"])
 
 
 def near_links(reps: DataFrame, docs: DataFrame, k: int, similarity: int) -> DataFrame:
     """(node, component) of the classes that link with another. reps: rep, size, bands; docs: doc_id, text with a row per rep."""
     bands = saved(reps.select("rep", "size", F.explode("bands").alias("band")), "bands")
     shared = bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
-    # sizes of linked texts differ by less than a class, so texts of one or of neighbouring classes meet in a cell
-    step = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(101 / similarity))).cast("int")
-    cells = saved(bands.join(shared, "band", "left_semi").select("rep", F.explode(F.array(step, step + 1)).alias("step"), "band").select("rep", F.xxhash64("band", "step").alias("cell")), "cells")
+    # sizes of linked texts differ by three classes at most, and a text is in four cells of a band, so linked
+    # texts meet in one, while texts that differ by more than a third in size don't
+    step = F.floor(3 * F.log(F.col("size").cast("double")) / F.log(F.lit(101 / similarity))).cast("int")
+    cells = saved(bands.join(shared, "band", "left_semi").select("rep", F.explode(F.sequence(step, step + 3)).alias("step"), "band").select("rep", F.xxhash64("band", "step").alias("cell")), "cells")
     forget(bands)
-    pairs = _hubs(cells)
+    pairs = _hubs(cells, reps.select("rep", "size"), similarity)
     needed = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct()
     texts = saved(docs.join(needed, "doc_id", "left_semi"), "family-texts")
     seen = saved(compared(pairs, texts, k, similarity), "compared")
