@@ -6,17 +6,17 @@ element visits the 252 slots in an order of its own with correlated ranks j + r;
 once no slot can still fall. 42 bands of 6 slots miss a pair of similarity 0.8 with probability 3e-6.
 
 Texts with one word sequence form one class; classes of like size that share a band form families. Each
-member of a family is compared, by whole shingle sets, with a hub of its size, the member with most company
-in the bands; of two that can link, one hub at least is common. What links with the hub is one component. A pair (X, Y) in which Y doesn't link with hub
-H can still link. With c = (1 - t) / (1 + t) a link needs |X ^ Y| <= c (|X| + |Y|), while
-|Y ^ H| > c (|Y| + |H|); so X ^ H and Y ^ H share s > (|X ^ H| + c (|H| - |X|)) / 2 elements, and any
-|X ^ H| - s + 1 elements of X ^ H hold one of them. Also Y holds at least t |X| elements of X, so any
-|X| - t |X| + 1 elements of X hold one of Y's. Each member offers the rarest elements of either kind,
-whichever fewer others hold, and meets the unlinked members that hold one. A meeting counts if sketches
-of X ^ H and Y ^ H, 512 bits with a bit for each element, have enough in common: bits shared and elements
-that fell on a taken bit bound the shared elements from above. What is left is compared by whole sets. So
-links between any two texts of a family are found or ruled out, or lie within a component, without
-expanding the family into pairs.
+member of a family is compared, by whole shingle sets, with a hub of its size, the member with most
+company in the bands; two members that can link have a hub in common. What links with a hub is one
+component. A pair (X, Y) in which Y doesn't link with hub H can still link. With c = (1 - t) / (1 + t) a
+link needs |X ^ Y| <= c (|X| + |Y|), while |Y ^ H| > c (|Y| + |H|); so X ^ H and Y ^ H share
+s > (|X ^ H| + c (|H| - |X|)) / 2 elements, and any |X ^ H| - s + 1 elements of X ^ H hold one of them.
+Also Y holds at least t |X| elements of X, so any |X| - t |X| + 1 elements of X hold one of Y's. Each
+member offers the rarest elements of either kind, whichever fewer others hold, and meets the unlinked
+members that hold one. A meeting counts if sketches of X ^ H and Y ^ H, 512 bits with a bit for each
+element, have enough in common: bits shared and elements that fell on a taken bit bound the shared
+elements from above. What is left is compared by whole sets. So links between any two texts of a family
+are found or ruled out, or lie within a component, without expanding the family into pairs.
 
 Nulls and edge cases: NULL and blank texts link with nothing; a row with NULL doc_id links with
 nothing and is kept; rows that share a doc_id are one node; an empty table gives no rows. Extra
