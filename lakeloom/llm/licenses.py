@@ -5,6 +5,9 @@ A-Z lower-cased, runs of blanks made one space, punctuation and blanks stripped
 sentences get their identifiers; the sequence of a text's identifiers is matched against ordered
 rules, in which other sentences may stand between two of a rule.
 
+Notices of several lines are found in paragraphs (lines up to a blank one, without comment marks), joined
+before they are cut, and not after 'v.' before a digit. Their identifiers follow those of the lines.
+
 Nulls and edge cases: a NULL or empty text has no sentences and the licence list ''. Repeated rows
 give repeated results. Sentences and rules are parameters; their tables are the caller's, held in
 the plan, and so bounded by what a program can state. Extra columns are ignored.
@@ -12,6 +15,10 @@ the plan, and so bounded by what a program can state. Extra columns are ignored.
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +61,27 @@ RULES = (
     ("MPL-2.0", (17,)),
     ("Proprietary", (8,)),
 )
+#: Whole sentences of the licences' own texts and notices, sought in paragraphs.
+NOTICES = {
+    18: "permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"software\"), to deal in the software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the software, and to permit persons to whom the software is furnished to do so, subject to the following conditions",
+    19: "the software is provided \"as is\", without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement",
+    20: "redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+    21: "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    22: "this software is provided by the copyright holders and contributors \"as is\" and any express or implied warranties, including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    23: "this program is free software: you can redistribute it and/or modify it under the terms of the gnu general public license as published by the free software foundation, either version 3 of the license, or (at your option) any later version",
+    24: "you should have received a copy of the gnu general public license along with this program",
+    25: "this source code form is subject to the terms of the mozilla public license, v. 2.0",
+    26: "licensed under the apache license, version 2.0 (the \"license\"); you may not use this file except in compliance with the license",
+}
+#: A licence, the identifiers that must follow one another, and those that must be absent.
+NOTICE_RULES = (
+    ("MIT", (18, 19), ()),
+    ("BSD-2-Clause", (20, 22), (21,)),
+    ("BSD-3-Clause", (20, 21, 22), ()),
+    ("GPL-3.0", (23, 24), ()),
+    ("MPL-2.0", (25,), ()),
+    ("Apache-2.0", (26,), ()),
+)
 STRIPPED = " \t\x0b\x0c\r.,;:!?*#()[]-_/"
 
 
@@ -78,11 +106,30 @@ def licence_ids(text: Column, sentences: dict[int, str] = SENTENCES) -> Column:
     return F.transform(known, lambda s: F.element_at(lookup, s))
 
 
-def scan(docs: DataFrame, sentences: dict[int, str] = SENTENCES, rules: tuple = RULES) -> DataFrame:
+def notice_ids(text: Column, notices: dict[int, str] = NOTICES) -> Column:
+    """Identifiers of the known sentences of a text's paragraphs, in order."""
+    plain = ascii_lower(F.coalesce(text, F.lit("")))
+    bare = F.regexp_replace(plain, "(?m)^[ \\t\\x0B\\f\\r]*(?:[#*;%]+|/[/*]+|--+)?[ \\t\\x0B\\f\\r]*", "")
+    # a blank line ends a paragraph; other line ends are blanks
+    joined = F.regexp_replace(F.regexp_replace(bare, "\n{2,}", "\x1e"), "[ \\t\\x0B\\f\\r\\n]+", " ")
+    marked = F.regexp_replace(joined, "(?:(?<!\\bv)([.!?]) |(?<=\\bv)([.!?]) (?![0-9]))", "$1$2\x1e")
+    parts = F.transform(F.split(marked, "\x1e"), lambda s: F.btrim(s, F.lit(STRIPPED)))
+    known = F.filter(parts, lambda s: s.isin(list(notices.values())))
+    lookup = F.create_map(*[F.lit(x) for i, s in notices.items() for x in (s, i)])
+    found = F.transform(known, lambda s: F.element_at(lookup, s))
+    # a sentence stands only in a text with its longest word, whatever the line ends
+    words = sorted({max(re.findall("[a-z]+", s), key=len) for s in notices.values()})
+    return F.when(reduce(or_, [F.contains(plain, F.lit(w)) for w in words]), found).otherwise(F.array().cast("array<int>"))
+
+
+def scan(docs: DataFrame, sentences: dict[int, str] = SENTENCES, rules: tuple = RULES, notices: dict[int, str] = NOTICES, notice_rules: tuple = NOTICE_RULES) -> DataFrame:
     """doc_id, sentence_ids (ids joined by a space), licenses (names in code-point order joined by a comma)."""
-    found = docs.select("doc_id", licence_ids(F.col("text"), sentences).alias("ids"))
+    ids = licence_ids(F.col("text"), sentences)
+    found = docs.select("doc_id", (F.concat(ids, notice_ids(F.col("text"), notices)) if notices else ids).alias("ids"))
     marks = F.array_join(F.transform("ids", lambda i: F.concat(F.lit("<"), i.cast("string"), F.lit(">"))), "")
-    hits = [F.when(F.col("_marks").like("%" + "%".join(f"<{i}>" for i in ids) + "%"), F.lit(name)) for name, ids in rules]
+    row = lambda ids: F.col("_marks").like("%" + "%".join(f"<{i}>" for i in ids) + "%")
+    hits = [F.when(row(ids), F.lit(name)) for name, ids in rules]
+    hits += [F.when(reduce(lambda c, i: c & ~row((i,)), absent, row(ids)), F.lit(name)) for name, ids, absent in notice_rules]
     named = found.withColumn("_marks", marks)
     return named.select(
         "doc_id",
