@@ -9,9 +9,12 @@ and headers and contents are copied into one preallocated buffer that becomes th
 Turns are formatted one by one, wherever they lie, so a conversation of any length spreads over
 all tasks. Reading back streams through the turns sorted by conversation with one running digest.
 
-Nulls and edge cases: a NULL text or role is the empty text; turns sort by (turn, role, text), NULL
-turn first, so ties and repeated rows have one order and all count; a NULL conv_id is one
-conversation; an empty table gives no rows. Extra columns are ignored.
+A digest runs over a conversation's turns in order, so one conversation is read back by one task, which
+streams through it with a constant state; only conversations, not turns, spread here.
+
+Nulls and edge cases: a NULL text or role is the empty text; turns sort by (turn, role, text), as they
+were before escaping, NULL turn first, so ties and repeated rows have one order and all count; a NULL
+conv_id is one conversation; an empty table gives no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
@@ -139,6 +142,26 @@ def parse_segments(segments: pa.Array) -> tuple[tuple[np.ndarray, np.ndarray], t
     return pieces[0], pieces[1]
 
 
+def _plain(escaped: Column, codes: dict[int, int]) -> Column:
+    """The text before escaping, in built-in functions: each pair of backslashes parts it, what is left has single ones only."""
+
+    def part(x: Column) -> Column:
+        for byte, code in codes.items():
+            if byte != ord("\\"):
+                x = F.replace(x, F.lit(f"\\{chr(code)}"), F.lit(chr(byte)))
+        return x
+
+    return F.array_join(F.transform(F.split(escaped, "\\\\\\\\"), part), "\\")
+
+
+def raw_parts(segment: Column) -> tuple[Column, Column]:
+    """Role and text of a formatted segment."""
+    head = F.locate(HEAD_END.decode(), segment)
+    role = F.substring(segment, F.lit(len(HEAD) + 1), head - F.lit(len(HEAD) + 1))
+    text = F.substring(segment, head + 1, F.char_length(segment) - head - F.lit(len(TURN_END)))
+    return _plain(role, _ROLE_CODES), _plain(text, _CODES)
+
+
 def read_back(formatted: DataFrame) -> DataFrame:
     """Per conversation: n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, from segments and masks."""
 
@@ -179,7 +202,10 @@ def read_back(formatted: DataFrame) -> DataFrame:
             close()
         yield from flush(0)
 
-    ordered = formatted.repartition("conv_id").sortWithinPartitions(F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), "segment")
+    # segments don't sort as the texts do, since '#', '<' and line ends are escaped: ties are settled by what was escaped
+    role, text = raw_parts(F.col("segment"))
+    dealt = formatted.repartition("conv_id").withColumns({"_role": role, "_text": text})
+    ordered = dealt.sortWithinPartitions(F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), "_role", "_text").drop("_role", "_text")
     return ordered.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 

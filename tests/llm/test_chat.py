@@ -40,6 +40,25 @@ def test_conversations(spark):
     assert got[3]["loss_chars"] == len("</turn>\n### user\n")
 
 
+def test_ties_sort_as_before_escaping(spark):
+    """Rows of one turn are in the order of their roles and texts, not of the escaped ones."""
+    pairs = [("user", "x"), ("user", "x!"), ("user", "#a"), ("user", "Za"), ("user", "<"), ("user", "\\h"), ("user", "\\"), ("u\nser", "a"), ("u!", "b"), ("user", "#\\#"), ("assistant", "é"), (None, "z"), ("user", None)]
+    df = spark.createDataFrame([(1, 0, r, t) for r, t in pairs], "conv_id long, turn long, role string, text string").repartition(4)
+    ordered = sorted(((r or "").encode(), (t or "").encode()) for r, t in pairs)
+    want = hashlib.sha256(b"".join(r + b"\n" + t + b"\n" for r, t in ordered)).hexdigest()
+    assert chat.read_back(chat.format_turns(df)).first()["turns_sha256"] == want
+
+
+@settings(max_examples=20, deadline=None)
+@given(TEXTS)
+def test_raw_parts(spark, texts):
+    """The built-in functions read the same role and text from a segment as the Python reader."""
+    rows = [(i, 0, (t or "")[::-1], t) for i, t in enumerate(texts)]
+    made = chat.format_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    got = {r["conv_id"]: (r["role"], r["text"]) for r in made.select("conv_id", *[c.alias(n) for c, n in zip(chat.raw_parts(made["segment"]), ("role", "text"), strict=True)]).collect()}
+    assert got == {i: (role, t or "") for i, _, role, t in rows}
+
+
 def test_empty_and_long(spark):
     kinds = "conv_id long, turn long, role string, text string"
     assert chat.read_back(chat.format_turns(spark.createDataFrame([], kinds))).count() == 0
