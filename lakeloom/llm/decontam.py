@@ -5,30 +5,37 @@ may differ by k = max(1, m * ``ERRORS`` // 100) edits; it is cut into k + 1 piec
 occurrence must hold unchanged. One automaton finds all pieces in a text in one pass; each hit names
 a window, and Myers' bit-parallel distance decides whether the item ends in it within k edits.
 
-Items are taken in blocks: the number of blocks follows the items' total length, so the automaton a
-task receives is bounded by about ``BLOCK_CHARS`` code points whatever the benchmark's size, and every
-block is held against all texts. Items that normalise to the same text share one search.
-
-Nulls and edge cases: NULL texts hold nothing; items that are NULL, blank or shorter than ``MIN_CHARS``
-after normalising are skipped, as nothing tells them from ordinary text; repeated rows give repeated
-matches; an empty documents or benchmark table gives no matches. Extra columns pass through ``clean``.
+Items shorter than ``SHORT`` have no budget: they must stand unchanged, with a blank or an end of the text
+on both sides, as a few edits would make any text of them.
+
+Items are taken in blocks: the number of blocks follows the items' total length, so what the driver holds,
+and the automaton a task receives, is bounded by about ``BLOCK_CHARS`` code points whatever the benchmark's
+size. Every block is held against all texts; with several blocks each one's result is a saved table before
+the next is read, so only one block is in memory at a time. Items that normalise to the same text share
+one search. A worker process keeps the automaton of its last block for its next tasks.
+
+Nulls and edge cases: NULL texts hold nothing; items that are NULL or blank are skipped, as are rows
+without item_id; repeated rows give repeated matches; an empty documents or benchmark table gives no
+matches. Extra columns pass through ``clean``. The automaton is that of the package pyahocorasick.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import ahocorasick
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches, table
+from .common import forget, saved, small_batches, table
 from .textkit import slices
 
-ERRORS, MIN_CHARS, BLOCK_CHARS = 8, 40, 4_000_000
+ERRORS, SHORT, BLOCK_CHARS = 8, 40, 4_000_000
 
 
 def normalised(text: str | None) -> str:
@@ -36,7 +43,8 @@ def normalised(text: str | None) -> str:
 
 
 def budget(m: int, errors: int = ERRORS) -> int:
-    return max(1, m * errors // 100)
+    """Edits that an item of m code points may have."""
+    return max(1, m * errors // 100) if m >= SHORT else 0
 
 
 def pieces(item: str, k: int) -> list[tuple[int, str]]:
@@ -103,6 +111,11 @@ class Matcher:
             item, ids, k = self.items[n]
             best = None
             found.sort()
+            if len(item) < SHORT:
+                alone = (at for at in found if (not at or text[at - 1] == " ") and text[at + len(item) : at + len(item) + 1] in ("", " "))
+                if (at := next(alone, None)) is not None:
+                    best = (0, at, at + len(item))
+                found = []
             i = 0
             while i < len(found):
                 # windows that overlap are searched as one
@@ -127,29 +140,46 @@ class Matcher:
                     yield (x, *best)
 
 
-def blocks(benchmark: DataFrame, errors: int = ERRORS, min_chars: int = MIN_CHARS) -> Iterator[Matcher]:
-    """A matcher for each block of items (item_id, text)."""
+def blocks(benchmark: DataFrame) -> tuple[DataFrame, int]:
+    """The items (item_id, text, block) that can be sought, and the number of blocks."""
     items = benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long"), "text")
     total = items.agg(F.sum(F.char_length("text"))).first()[0] or 0
-    n = max(1, -(-total // BLOCK_CHARS))
-    for b in range(n if total else 0):
-        own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b).toLocalIterator()
-        known = [(r["item_id"], normalised(r["text"])) for r in own]
-        yield Matcher([(i, t) for i, t in known if len(t) >= min_chars], errors)
+    n = max(1, -(-total // BLOCK_CHARS)) if total else 0
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(n, 1)))
+    dealt = items.withColumn("block", block)
+    return (saved(dealt, "items", ["block"]) if n > 1 else dealt), n
+
+
+def items_of(items: DataFrame, block: int) -> list[tuple[int, str]]:
+    """One block's items, normalised."""
+    known = [(r["item_id"], normalised(r["text"])) for r in items.filter(F.col("block") == block).select("item_id", "text").toLocalIterator()]
+    return [(i, t) for i, t in known if t]
+
+
+_last: dict = {}
+
+
+def matcher_of(shared: Broadcast, errors: int) -> Matcher:
+    """The matcher of a broadcast block; built once in a worker process."""
+    if _last.get("made_of") != (shared.value, errors):
+        _last.update(made_of=(shared.value, errors), matcher=Matcher(shared.value, errors))
+    return _last["matcher"]
 
 
 MATCHES = "item_id long, distance int, start long, end long"
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, errors: int = ERRORS, min_chars: int = MIN_CHARS) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, errors: int = ERRORS) -> DataFrame:
     """doc_id, item_id, distance, start, end of each item found in each row of docs (doc_id, text)."""
-    small_batches(docs.sparkSession)
-    found = None
-    for matcher in blocks(benchmark, errors, min_chars):
-        shared = docs.sparkSession.sparkContext.broadcast(matcher.items)
+    spark = docs.sparkSession
+    small_batches(spark)
+    items, n = blocks(benchmark)
+    found = []
+    for block in range(n):
+        shared = spark.sparkContext.broadcast(items_of(items, block))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            m = Matcher([(i, t) for t, ids, _ in shared.value for i in ids], errors)
+            m = matcher_of(shared, errors)
             for whole in batches:
                 for b in slices(whole, "text"):
                     rows = [(doc, *x) for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True) if text for x in m.find(normalised(text))]
@@ -158,24 +188,35 @@ def matches(docs: DataFrame, benchmark: DataFrame, errors: int = ERRORS, min_cha
                         yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(i, pa.int64()), pa.array(e, pa.int32()), pa.array(s, pa.int64()), pa.array(t, pa.int64())], ["doc_id", "item_id", "distance", "start", "end"])
 
         new = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, f"doc_id long, {MATCHES}")
-        found = new if found is None else found.unionAll(new)
-    return docs.sparkSession.createDataFrame([], f"doc_id long, {MATCHES}") if found is None else found
+        if n > 1:
+            new = saved(new, "matches")
+            shared.destroy()
+        found.append(new)
+    return reduce(DataFrame.unionAll, found) if found else spark.createDataFrame([], f"doc_id long, {MATCHES}")
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, errors: int = ERRORS, min_chars: int = MIN_CHARS) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, errors: int = ERRORS) -> DataFrame:
     """The rows of docs that hold no item. Each row is judged by its own text, so nothing is shuffled."""
-    small_batches(docs.sparkSession)
-    for matcher in blocks(benchmark, errors, min_chars):
-        shared = docs.sparkSession.sparkContext.broadcast(matcher.items)
+    spark = docs.sparkSession
+    small_batches(spark)
+    items, n = blocks(benchmark)
+    for block in range(n):
+        shared = spark.sparkContext.broadcast(items_of(items, block))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            m = Matcher([(i, t) for t, ids, _ in shared.value for i in ids], errors)
+            m = matcher_of(shared, errors)
             for whole in batches:
                 for b in slices(whole, "text"):
                     keep = [not text or next(m.find(normalised(text)), None) is None for text in b.column("text").to_pylist()]
                     yield b.filter(pa.array(keep, pa.bool_()))
 
-        docs = docs.mapInArrow(run, T.StructType(docs.schema.fields))
+        left = docs.mapInArrow(run, T.StructType(docs.schema.fields))
+        if n > 1:
+            left = saved(left, "clean")
+            shared.destroy()
+            if block:
+                forget(docs)
+        docs = left
     return docs
 
 

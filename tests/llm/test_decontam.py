@@ -51,7 +51,7 @@ def test_against_brute_force(spark, documents, odd_rows):
     for doc, text in rows:
         for item, t in items:
             a = decontam.normalised(t)
-            if item is not None and len(a) >= decontam.MIN_CHARS:
+            if item is not None and a:
                 d = distances(a, decontam.normalised(text)[:2000])
                 if d <= decontam.budget(len(a)):
                     want.add((doc, item, d))
@@ -63,13 +63,24 @@ def test_against_brute_force(spark, documents, odd_rows):
     assert sorted(str(x["doc_id"]) for x in kept.collect()) == sorted(str(d) for d, _ in rows if d not in {w[0] for w in want})
 
 
+def test_short_items(spark, documents):
+    """Items too short for edits are found where they stand alone, unchanged."""
+    benchmark = spark.createDataFrame([(1, "The  Capital of\nPeru"), (2, "x"), (3, " \t")], "item_id long, text string")
+    rows = [(1, "ask: the capital of peru"), (2, "the capital of peruvians, the capital of peru!"), (3, "THE CAPITAL\tOF PERU is"), (4, "the capitol of peru"), (5, "an x"), (6, "axe xx"), (7, None), (8, ""), (9, "athe capital of peru the capital of peru")]
+    got = {(r["doc_id"], r["item_id"], r["distance"], r["start"], r["end"]) for r in decontam.matches(documents(rows), benchmark).collect()}
+    assert got == {(1, 1, 0, 5, 24), (3, 1, 0, 0, 19), (5, 2, 0, 3, 4), (9, 1, 0, 21, 40)}
+    assert sorted(r["doc_id"] for r in decontam.clean(documents(rows), benchmark).collect()) == [2, 4, 6, 7, 8]
+
+
 def test_blocks_agree(spark, documents, monkeypatch):
-    items = [(i, passage(100 + i, 12)) for i in range(30)]
+    items = [(i, passage(100 + i, 12)) for i in range(30)] + [(40, "short item")]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     docs = documents([(i, passage(i, 20) + " " + items[i][1]) for i in range(30)])
     one = {(r["doc_id"], r["item_id"]) for r in decontam.matches(docs, benchmark).collect()}
     monkeypatch.setattr(decontam, "BLOCK_CHARS", 500)
     assert {(r["doc_id"], r["item_id"]) for r in decontam.matches(docs, benchmark).collect()} == one == {(i, i) for i in range(30)}
+    assert decontam.blocks(benchmark)[1] > 3
+    assert decontam.clean(docs.unionAll(documents([(99, "none of them")])), benchmark).select("doc_id").collect() == [(99,)]
 
 
 def test_empty(spark, documents):
@@ -83,5 +94,5 @@ def test_query(spark, sf):
     got = decontam.op5_decontam(spark, sf).collect()
     items = {r["item_id"]: decontam.normalised(r["text"]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
     docs = {r["doc_id"]: decontam.normalised(r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
-    exact = {(d, i) for d, t in docs.items() for i, x in items.items() if len(x) >= decontam.MIN_CHARS and x in t}
+    exact = {(d, i) for d, t in docs.items() for i, x in items.items() if x and (x in t if len(x) >= decontam.SHORT else f" {x} " in f" {t} ")}
     assert exact == {(r["doc_id"], r["item_id"]) for r in got if r["distance"] == 0}
