@@ -19,7 +19,8 @@ elements from above. What is left is compared by whole sets. So links between an
 are found or ruled out, or lie within a component, without expanding the family into pairs.
 
 Nulls and edge cases: NULL and blank texts link with nothing; a row with NULL doc_id links with
-nothing and is kept; rows that share a doc_id are one node; an empty table gives no rows. Extra
+nothing and is kept; rows that share a doc_id are one node, whose texts' links are all its own, so they
+have one component; an empty table gives no rows. Extra
 columns are ignored. Sets are compared by 64-bit hashes of shingles. One text must fit in a task.
 """
 
@@ -119,7 +120,7 @@ def _sequence_keys(words: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
 
 
 def signatures(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles, k1, k2 (the word sequence's key) and bands of each row of docs (doc_id, text)."""
+    """doc_id, t (the text's hash), n_shingles, k1, k2 (the word sequence's key) and bands of each row of docs (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -132,9 +133,9 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
                 found = bands(superminhash(np.concatenate(sets), ends)) if len(sets) else np.zeros((0, SLOTS // BAND), U)
                 k1, k2 = _sequence_keys(words, at)
                 listed = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * found.shape[1]), pa.array(found.reshape(-1).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.diff(ends)), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), listed], ["doc_id", "n_shingles", "k1", "k2", "bands"])
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("t"), pa.array(np.diff(ends)), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), listed], ["doc_id", "t", "n_shingles", "k1", "k2", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("t"), "text").mapInArrow(run, "doc_id long, t long, n_shingles long, k1 long, k2 long, bands array<long>")
 
 
 SKETCH = [f"s{i}" for i in range(8)]
@@ -185,8 +186,8 @@ def compared(pairs: DataFrame, texts: DataFrame, k: int, similarity: int) -> Dat
                     lists.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found))))
                 yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(linked, pa.bool_()), *[pa.array(x, pa.int64()) for x in (sizes, needs, enough)], *lists, *[pa.array(x) for x in np.stack(bits, 1)]], [c.split()[0] for c in COMPARED.split(", ")])
 
-    first = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
-    both = first.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
+    first = pairs.join(texts.select(F.col("rep").alias("a"), F.col("text").alias("ta")), "a")
+    both = first.join(texts.select(F.col("rep").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
     return both.mapInArrow(run, COMPARED)
 
 
@@ -200,9 +201,10 @@ def _hubs(cells: DataFrame, sizes: DataFrame, similarity: int) -> DataFrame:
     families = components(members.filter("rep <> first").select(F.col("rep").alias("u"), F.col("first").alias("v")).distinct())
     company = members.groupBy("rep").agg(F.sum("n").alias("n"))
     step = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(101 / similarity))).cast("int")
-    placed = families.join(company, families["node"] == company["rep"]).join(sizes, "rep").select("rep", "component", "n", F.explode(F.array(step, step + 1)).alias("class"))
+    # saved before they meet, so that a large family is a join's skewed key that Spark can split
+    placed = saved(families.join(company, families["node"] == company["rep"]).join(sizes, "rep").select("rep", "component", "n", F.explode(F.array(step, step + 1)).alias("class")), "placed")
     hubs = placed.groupBy("component", "class").agg(F.max(F.struct("n", (-F.col("rep")).alias("r"))).alias("h")).select("component", "class", (-F.col("h.r")).alias("b"))
-    return saved(placed.join(hubs, ["component", "class"]).filter("rep <> b").select(F.col("rep").alias("a"), "b").distinct(), "hubs")
+    return saved(placed.join(saved(hubs, "hub-of-class"), ["component", "class"]).filter("rep <> b").select(F.col("rep").alias("a"), "b").distinct(), "hubs")
 
 
 def _offers(seen: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -227,7 +229,7 @@ def _offers(seen: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def near_links(reps: DataFrame, docs: DataFrame, k: int, similarity: int) -> DataFrame:
-    """(node, component) of the classes that link with another. reps: rep, size, bands; docs: doc_id, text with a row per rep."""
+    """Links (u, v) between classes. reps: rep, size, bands, doc_id and t, which name a row of docs; docs: doc_id, t, text."""
     bands = saved(reps.select("rep", "size", F.explode("bands").alias("band")), "bands")
     shared = bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
     # sizes of linked texts differ by three classes at most, and a text is in four cells of a band, so linked
@@ -236,8 +238,10 @@ def near_links(reps: DataFrame, docs: DataFrame, k: int, similarity: int) -> Dat
     cells = saved(bands.join(shared, "band", "left_semi").select("rep", F.explode(F.sequence(step, step + 3)).alias("step"), "band").select("rep", F.xxhash64("band", "step").alias("cell")), "cells")
     forget(bands)
     pairs = _hubs(cells, reps.select("rep", "size"), similarity)
-    needed = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct()
-    texts = saved(docs.join(needed, "doc_id", "left_semi"), "family-texts")
+    members = pairs.select(F.col("a").alias("rep")).unionAll(pairs.select("b")).distinct()
+    needed = saved(reps.select("rep", "doc_id", "t").join(members, "rep"), "family-members")
+    # equal rows give a class one text; the join has dealt and sorted them already
+    texts = saved(docs.join(needed, ["doc_id", "t"]).groupBy("doc_id", "t", "rep").agg(F.first("text").alias("text")).select("rep", "text"), "family-texts")
     seen = saved(compared(pairs, texts, k, similarity), "compared")
     offered, holding = _offers(seen)
     x = offered.select("b", "n", "mark", *[F.col(c).alias(f"x_{c}") for c in ("a", "linked", "size", "all", *SKETCH)])
@@ -249,7 +253,7 @@ def near_links(reps: DataFrame, docs: DataFrame, k: int, similarity: int) -> Dat
     like = (F.col("x_a") != F.col("y_a")) & (F.col("x_linked") | (F.col("x_a") < F.col("y_a"))) & (100 * F.least("x_size", "y_size") >= similarity * F.greatest("x_size", "y_size")) & enough
     more = saved(x.join(y, ["b", "n", "mark"]).filter(like).select(F.greatest("x_a", "y_a").alias("a"), F.least("x_a", "y_a").alias("b")).distinct(), "pairs")
     links = seen.filter("linked").select("a", "b").unionAll(compared(more, texts, k, similarity).filter("linked").select("a", "b"))
-    return components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    return links.select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
 def near_dups(docs: DataFrame, k: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
@@ -257,13 +261,23 @@ def near_dups(docs: DataFrame, k: int = SHINGLE, similarity: int = SIMILARITY) -
     small_batches(docs.sparkSession)
     own = saved(signatures(docs, k), "signatures")
     filled = own.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = saved(filled.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("size"), F.first("bands").alias("bands")), "classes")
-    reps = classes.select("rep", "size", "bands")
-    named = near_links(reps, docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id IS NOT NULL"), k, similarity)
-    least = classes.select("k1", "k2", "rep").join(named.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("least"))
-    joined = own.join(least, ["k1", "k2"], "left")
-    component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("least")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = filled.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "t")).alias("p"), F.first("n_shingles").alias("size"), F.first("bands").alias("bands"))
+    # numbers of classes are drawn once and saved: a doc_id with several texts is in several classes
+    classes = saved(first.select("k1", "k2", "p.doc_id", "p.t", "size", "bands").withColumn("rep", F.monotonically_increasing_id()), "classes")
+    rows = saved(own.select("doc_id", "n_shingles", "k1", "k2").join(classes.select("k1", "k2", "rep"), ["k1", "k2"], "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles").isNotNull() & (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("rep")).alias("rep")), "rows")
+    links = near_links(classes.select("rep", "doc_id", "t", "size", "bands"), docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("t"), "text").filter("doc_id IS NOT NULL"), k, similarity)
+    # the classes of one doc_id are one node
+    several = rows.filter("rep IS NOT NULL").groupBy("doc_id").agg(F.min("rep").alias("v"), F.max("rep").alias("last")).filter("v < last").select("doc_id", "v")
+    same = rows.join(saved(several, "several"), "doc_id").filter("rep > v").select(F.col("rep").alias("u"), "v").distinct()
+    named = saved(components(links.unionAll(same)), "components")
+    joined = classes.select("rep", "doc_id").join(named.withColumnRenamed("node", "rep"), "rep")
+    least = saved(joined.groupBy("component").agg(F.min("doc_id").alias("least")), "least")
+    reached = saved(joined.join(least, "component").select("rep", "least"), "reached")
+    alone = classes.select("rep", F.col("doc_id").alias("own"))
+    found = saved(rows.join(alone.join(reached, "rep", "left"), "rep", "left").select("doc_id", "n_shingles", F.coalesce("least", "own", "doc_id").alias("least")), "found")
+    # rows without words share the component of the other rows of their doc_id
+    mixed = saved(found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("least").alias("c"), F.max("least").alias("most")).filter("c < most").select("doc_id", "c"), "mixed")
+    return found.join(mixed, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("c", "least").alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -101,6 +101,16 @@ def test_copies_and_empty(documents):
     assert {v[1] for k, v in got.items() if k < 60} == {0} and got[100] == (0, 100, True) and got[101] == (0, 101, True)
 
 
+def test_one_id_with_several_texts(documents):
+    """A doc_id is one node: it links whatever any of its texts links."""
+    a, b, c, d = (passage(i, 40) for i in range(4))
+    rows = [(3, a), (7, a), (7, b), (9, b), (9, b), (9, ""), (20, c), (21, d), (21, c.upper()), (22, d + " more"), (30, passage(5, 40)), (30, None), (3, passage(6, 40)), (40, passage(6, 41)), (50, None), (50, "")]
+    got = minhash.near_dups(documents(rows)).collect()
+    assert len(got) == len(rows)
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {(3, 3), (7, 3), (9, 3), (20, 20), (21, 20), (22, 20), (30, 30), (40, 3), (50, 50)}
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
+
+
 def test_components(spark):
     r = random.Random(3)
     edges = [(i, i + 1) for i in range(0, 60)] + [(r.randrange(100, 200), r.randrange(100, 200)) for _ in range(70)] + [(5, 5)]
