@@ -1,20 +1,25 @@
 """Language-model scores by deleted interpolation of n-gram maximum-likelihood estimates.
 
-P(w | h) = a(b) c(h, w) / c(h) + u(b) c(w) / N + z(b) / (V + 1), where b is the bucket of the context's
-count c(h), by powers of two, and each bucket's weights are learned by expectation-maximisation on the
-held-out counts of one fold of the training texts: each of its tokens is taken out of the counts it is
-predicted from. A text's tokens are its words and one end; the end is also the first word's context.
-
-Counts cover every training text. Tasks turn a few MB of texts at a time into blocks: the distinct
-word hashes, and each token's place among them. Blocks ask the parts of the hash range for the counts
-of their distinct words and word pairs, each once a block, a part sums all blocks' counts of a key and
-answers each block, and the answers join the block again. A part and a block have bounded sizes, the
-number of parts follows the tokens, and no table of the vocabulary is ever broadcast or collected; only
-the weights, N, V and a histogram of (bucket, estimates) of at most some ten thousand cells reach the driver.
+P1(w) = a c(w) / N + (1 - a) / (V + 1); P2(w | v) mixes c(v, w) / c(v) with P1(w), and P3(w | u, v) mixes
+c(u, v, w) / c(u, v) with P2(w | v). The share of each estimate depends on the bucket of its context's count
+(one bucket for each count up to ``EXACT``, then one for each power of two); a context that was never seen has
+share 0. Shares are learned by expectation-maximisation on the held-out counts of one fold of the training
+texts, the lower order first: each of its tokens is taken out of the counts it is predicted from. A text's
+tokens are its words and one end; ends also stand before the first word as its contexts.
+
+Counts cover every training text. Tasks turn a few MB of texts at a time into blocks: the distinct word
+hashes, and each token's place among them. Blocks ask the parts of the hash range for the counts of their
+distinct words, pairs and triples, each once a block; a part sums all blocks' counts of a key and answers each
+block, and the answers join the block again. The number of parts follows the tokens. A common key is asked
+for by every block, so with more than ``FAN`` blocks a part's requests are dealt to groups of about FAN
+blocks: groups sum their own requests, the groups' sums meet by part, and their totals go back the same way.
+No table of the vocabulary is ever broadcast or collected; only the shares, N, V and histograms of (bucket,
+two estimates in quarter powers of two), bounded by the number of their cells, reach the driver.
 
 Nulls and edge cases: a NULL or blank text is the end token alone; without training texts the score
 is the base score; repeated rows count and score each; a NULL doc_id counts as the empty text when folds
-are drawn; an empty table gives no rows. Extra columns are ignored. Words are told apart by 64-bit hashes.
+are drawn; an empty table gives no rows. Extra columns are ignored. Words are told apart by 64 bits of hash,
+pairs and triples by 56: of D different ones a share of D / 2^56 is expected to meet another.
 """
 
 from __future__ import annotations
@@ -31,27 +36,40 @@ from .common import crc_fold, saved, shuffle_parts, small_batches, table
 from .textkit import FACTORS, U, buffers, hash_words, lowered, mix, slices
 
 FOLDS, DELETED = 10, 1
-#: Bytes of text in a block, and tokens for each part of the hash range.
-BLOCK, PART = 4 << 20, 4_000_000
-BUCKETS = 33
+#: Bytes of text in a block, tokens for each part of the hash range, and blocks in a group of a part's requests.
+BLOCK, PART, FAN = 4 << 20, 4_000_000, 4096
+#: Bits of a key by order.
+BITS = (64, 56, 56)
+EXACT, BUCKETS = 8, 64
 _END = U(0x5D1E0F3A9B7C2461)
 _ZSTD = pa.Codec("zstd")
+#: Shorter arrays aren't compressed.
+_LEAST = 256
 
 
 def _pack(x: np.ndarray) -> bytes:
-    """Bytes by significance, compressed: counts and ranks have mostly zero high bytes."""
+    """Bytes by significance, compressed: counts, ranks and steps have mostly zero high bytes."""
     planes = np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes() if len(x) else b""
-    return len(x).to_bytes(8, "little") + (_ZSTD.compress(planes, asbytes=True) if planes else b"")
+    return len(x).to_bytes(8, "little") + (_ZSTD.compress(planes, asbytes=True) if len(planes) >= _LEAST else planes)
 
 
 def _unpack(data: bytes, kind: type) -> np.ndarray:
     n, size = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
     if not n:
         return np.zeros(0, kind)
-    planes = np.frombuffer(_ZSTD.decompress(data[8:], n * size, asbytes=True), np.uint8)
+    planes = np.frombuffer(_ZSTD.decompress(data[8:], n * size, asbytes=True) if n * size >= _LEAST else data[8:], np.uint8)
     return np.ascontiguousarray(planes.reshape(size, n).T).reshape(-1).view(kind)
 
 
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys by their steps."""
+    return _pack(np.diff(keys, prepend=keys.dtype.type(0)))
+
+
+def _unpack_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(data, U), dtype=U)
+
+
 BLOCKS = "block long, deleted boolean, tokens long, docs binary, folds binary, ends binary, places binary, words binary"
 
 
@@ -85,130 +103,217 @@ def blocks(docs: DataFrame) -> DataFrame:
 
 
 class _Block:
-    """A block's row, unpacked; keys of words and of pairs in ascending order with each token's place among them."""
+    """A block's row, unpacked; by order, its distinct keys in ascending order and each token's place among them."""
 
     def __init__(self, folds: bytes, ends: bytes, places: bytes, words: bytes):
         self.folds, self.ends = _unpack(folds, np.int8), _unpack(ends, np.int64)
+        self.starts = np.concatenate([[0], self.ends[:-1]])
         known, rank = np.frombuffer(words, U), _unpack(places, np.uint32)
         order = np.argsort(known)
         back = np.empty(len(order), np.int64)
         back[order] = np.arange(len(order))
-        self.words, self.word_of = known[order], back[rank]
+        known, word = known[order], back[rank]
         # a NULL doc_id has fold -1 here; its fold as the empty text is 0, so it is not trained on
         self.trained = np.repeat(self.folds > 0, np.diff(self.ends, prepend=0))
-        before = np.roll(self.word_of, 1)
-        self.context_of = before
-        h = mix(self.words * FACTORS[0])
-        self.pairs, self.pair_of = np.unique(mix(h[before] + self.words[self.word_of] * FACTORS[1]), return_inverse=True)
-
-
-def _part_of(keys: np.ndarray, parts: int) -> np.ndarray:
-    return ((keys >> U(32)) * U(parts) >> U(32)).astype(np.int64)
-
-
-ASKED = "kind int, part int, block long, low binary, high binary, n binary"
-
-
-def _asked(made: DataFrame, parts: int) -> DataFrame:
-    """Each block's distinct keys with its own training counts, by part. Of a key 48 bits and its part are kept."""
+        # the token before a text's first one is an end, its own or that of the text before
+        self.before = np.roll(word, 1)
+        earlier = np.roll(word, 2)
+        earlier[self.starts] = self.before[self.starts]
+        first = mix(known * FACTORS[0])
+        then = known * FACTORS[1]
+        pairs = mix(first[self.before] + then[word]) >> U(64 - BITS[1])
+        triples = mix(mix(first[earlier] + then[self.before]) + known[word] * FACTORS[2]) >> U(64 - BITS[2])
+        self.keys, self.of = [known], [word]
+        for made in (pairs, triples):
+            keys, of = np.unique(made, return_inverse=True)
+            self.keys.append(keys)
+            self.of.append(of)
+
+    def counts(self, answers: list[dict]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """By order, each token's count and its context's; the context of a word alone has no count."""
+        found = []
+        for kind, of in enumerate(self.of):
+            own = sorted((a["part"], a["n"]) for a in answers if a["kind"] == kind)
+            found.append(np.concatenate([_unpack(n, U) for _, n in own]).astype(np.int64))
+        counts = [n[of] for n, of in zip(found, self.of, strict=True)]
+        context = found[0][self.before]
+        two = np.roll(counts[1], 1)
+        two[self.starts] = context[self.starts]
+        return counts, [np.zeros(0, np.int64), context, two]
+
+
+def _part_of(keys: np.ndarray, parts: int, bits: int) -> np.ndarray:
+    return (((keys << U(64 - bits)) >> U(32)) * U(parts) >> U(32)).astype(np.int64)
+
+
+ASKED = "kind int, part int, crowd int, block long, keys binary, n binary"
+
+
+def asked(made: DataFrame, parts: int, crowds: int) -> DataFrame:
+    """Each block's distinct keys with its own training counts, by the parts it has keys in. A block is in one crowd."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for number, *columns in zip(*(b.column(c).to_pylist() for c in ("block", "folds", "ends", "places", "words")), strict=True):
                 x = _Block(*columns)
-                for kind, keys, of in ((0, x.words, x.word_of), (1, x.pairs, x.pair_of)):
-                    n = np.bincount(of[x.trained], minlength=len(keys)).astype(np.uint32)
-                    cuts = np.searchsorted(_part_of(keys, parts), np.arange(parts + 1))
-                    rows = [(kind, p, number, keys[i:j].astype(np.uint32).tobytes(), (keys[i:j] >> U(32)).astype(np.uint16).tobytes(), _pack(n[i:j])) for p, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if j > i]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], [c.split()[0] for c in ASKED.split(", ")])
+                crowd = int(mix(np.array([number], U))[0] % U(crowds))
+                for kind, (keys, of) in enumerate(zip(x.keys, x.of, strict=True)):
+                    n = np.bincount(of[x.trained], minlength=len(keys)).astype(U)
+                    part = _part_of(keys, parts, BITS[kind])
+                    cuts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(keys))
+                    rows = [(kind, part[i], crowd, number, _pack_keys(keys[i:j]), _pack(n[i:j])) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], [c.split()[0] for c in ASKED.split(", ")])
 
     return made.mapInArrow(run, ASKED)
 
 
-ANSWER = "kind int, part int, block long, n binary, total long, distinct long"
+ANSWER = "kind int, part int, crowd int, block long, n binary, total long, distinct long"
 
 
-def _answers(asked: DataFrame) -> DataFrame:
-    """For each request the keys' counts over all blocks; total and distinct stand in one row of each part."""
+def _summed(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The distinct keys, their sums, and each list's places among them."""
+    known, which = np.unique(np.concatenate(keys), return_inverse=True)
+    sums = np.zeros(len(known), U)
+    np.add.at(sums, which, np.concatenate(n))
+    return known, sums, np.split(which, np.cumsum([len(x) for x in keys])[:-1])
 
-    def run(group: pa.Table) -> pa.Table:
-        low, high = ([np.frombuffer(x, t) for x in group.column(c).to_pylist()] for c, t in (("low", np.uint32), ("high", np.uint16)))
-        n = [_unpack(x, np.uint32) for x in group.column("n").to_pylist()]
-        _, which = np.unique(np.concatenate(low).astype(U) | np.concatenate(high).astype(U) << U(32), return_inverse=True)
-        sums = np.bincount(which, np.concatenate(n)).astype(np.uint32 if sum(x.sum(dtype=np.int64) for x in n) < 1 << 32 else np.uint64)
-        found = np.split(sums[which].astype(np.uint32), np.cumsum([len(x) for x in n])[:-1])
-        rows = group.num_rows
-        total, distinct = np.zeros(rows, np.int64), np.zeros(rows, np.int64)
-        total[0], distinct[0] = int(sums.sum(dtype=np.int64)), int((sums > 0).sum())
-        return pa.table({"kind": group.column("kind"), "part": group.column("part"), "block": group.column("block"), "n": pa.array([_pack(x) for x in found], pa.binary()), "total": total, "distinct": distinct})
 
-    return asked.groupBy("kind", "part").applyInArrow(run, ANSWER)
+def _table(rows: list[tuple], kinds: str) -> pa.Table:
+    types = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    names = [c.split() for c in kinds.split(", ")]
+    return pa.table({name: pa.array([r[i] for r in rows], types[kind]) for i, (name, kind) in enumerate(names)})
 
 
-def _answered(made: DataFrame, answers: DataFrame) -> DataFrame:
+def _lists(group: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    return [_unpack_keys(x) for x in group.column("keys").to_pylist()], [_unpack(x, U) for x in group.column("n").to_pylist()]
+
+
+def answers(requests: DataFrame, crowds: int) -> DataFrame:
+    """For each request the keys' counts over all blocks; total and distinct stand in one row of each part."""
+
+    def answer(group: pa.Table) -> pa.Table:
+        kind, part, crowd = (group.column(c)[0].as_py() for c in ("kind", "part", "crowd"))
+        _, sums, places = _summed(*_lists(group))
+        rows = [(kind, part, crowd, block, _pack(sums[p]), 0, 0) for block, p in zip(group.column("block").to_pylist(), places, strict=True)]
+        rows[0] = (*rows[0][:5], int(sums.sum(dtype=np.int64)), int((sums > 0).sum()))
+        return _table(rows, ANSWER)
+
+    if crowds == 1:
+        return requests.groupBy("kind", "part").applyInArrow(answer, ANSWER)
+
+    placed = "kind int, part int, crowd int, block long, keys binary, n binary"
+
+    def crowd_sums(group: pa.Table) -> pa.Table:
+        """The crowd's sums, as a row without block, and each block's places among them, as keys."""
+        kind, part, crowd = (group.column(c)[0].as_py() for c in ("kind", "part", "crowd"))
+        known, sums, places = _summed(*_lists(group))
+        rows = [(kind, part, crowd, None, _pack_keys(known), _pack(sums))]
+        rows += [(kind, part, crowd, block, _pack_keys(p.astype(U)), b"") for block, p in zip(group.column("block").to_pylist(), places, strict=True)]
+        return _table(rows, placed)
+
+    def totals(group: pa.Table) -> pa.Table:
+        kind, part = (group.column(c)[0].as_py() for c in ("kind", "part"))
+        _, sums, places = _summed(*_lists(group))
+        rows = [(kind, part, crowd, None, _pack(sums[p]), 0, 0) for crowd, p in zip(group.column("crowd").to_pylist(), places, strict=True)]
+        rows[0] = (*rows[0][:5], int(sums.sum(dtype=np.int64)), int((sums > 0).sum()))
+        return _table(rows, ANSWER)
+
+    def back(own: pa.Table, total: pa.Table) -> pa.Table:
+        kind, part, crowd, _, n, whole, distinct = (total.column(c)[0].as_py() for c in [c.split()[0] for c in ANSWER.split(", ")])
+        sums = _unpack(n, U)
+        rows = [(kind, part, crowd, block, _pack(sums[_unpack_keys(keys).astype(np.int64)]), 0, 0) for block, keys in zip(own.column("block").to_pylist(), own.column("keys").to_pylist(), strict=True)]
+        rows[0] = (*rows[0][:5], whole, distinct)
+        return _table(rows, ANSWER)
+
+    first = saved(requests.groupBy("kind", "part", "crowd").applyInArrow(crowd_sums, placed), "lm-crowds")
+    met = first.filter("block IS NULL").groupBy("kind", "part").applyInArrow(totals, ANSWER)
+    keys = ["kind", "part", "crowd"]
+    return first.filter("block IS NOT NULL").groupBy(*keys).cogroup(met.groupBy(*keys)).applyInArrow(back, ANSWER)
+
+
+def _answered(made: DataFrame, found: DataFrame) -> DataFrame:
     """Blocks with the list of their answers."""
-    own = answers.groupBy("block").agg(F.collect_list(F.struct("kind", "part", "n")).alias("answers"))
+    own = found.groupBy("block").agg(F.collect_list(F.struct("kind", "part", "n")).alias("answers"))
     return made.join(own, "block")
 
 
-def _counts(x: _Block, answers: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """c(h, w), c(h) and c(w) of each token."""
-    kinds = []
-    for kind in (0, 1):
-        own = sorted((a["part"], a["n"]) for a in answers if a["kind"] == kind)
-        kinds.append(np.concatenate([_unpack(n, np.uint32) for _, n in own]).astype(np.int64))
-    return kinds[1][x.pair_of], kinds[0][x.word_of[np.arange(len(x.word_of)) - 1]], kinds[0][x.word_of]
+def bucket_of(context: np.ndarray) -> np.ndarray:
+    """0: never seen; the count up to EXACT; then one more for each power of two."""
+    power = np.frexp(np.maximum(context, 1).astype(float))[1] - np.frexp(float(EXACT))[1]
+    return np.where(context <= EXACT, context, np.minimum(EXACT + 1 + power, BUCKETS - 1)).astype(np.int64)
 
 
-def _bucket(context: np.ndarray) -> np.ndarray:
-    """0: never seen; else 1 + the whole part of log2."""
-    out = np.zeros(len(context), np.int64)
-    seen = context > 0
-    out[seen] = np.minimum(np.frexp(context[seen].astype(float))[1], BUCKETS - 1)
-    return out
+def blend(shares: np.ndarray, count: np.ndarray, context: np.ndarray, below: np.ndarray) -> np.ndarray:
+    own = shares[bucket_of(context)]
+    return own * count / np.maximum(context, 1) + (1 - own) * below
+
 
+class Shares:
+    """By order, each bucket's share of its estimate; the rest falls to the order below."""
 
-CELLS = "bucket long, q2 long, q1 long, n long, s2 double, s1 double"
+    def __init__(self, total: int, distinct: int):
+        self.total, self.distinct = total, distinct
+        self.one, self.more = 0.5, []
 
+    def probability(self, counts: list[np.ndarray], contexts: list[np.ndarray], total: int) -> np.ndarray:
+        """By as many orders as have been learned."""
+        p = self.one * counts[0] / max(total, 1) + (1 - self.one) / (self.distinct + 1)
+        for k, shares in enumerate(self.more, 1):
+            p = blend(shares, counts[k], contexts[k], p)
+        return p
 
-def _cells(answered: DataFrame, total: int) -> DataFrame:
-    """Held-out tokens by bucket and by both estimates in half powers of two, with their sums."""
+
+CELLS = "bucket long, qu long, ql long, n long, su double, sl double"
+
+
+def _cells(answered: DataFrame, shares: Shares, order: int) -> tuple[np.ndarray, ...]:
+    """Held-out tokens by bucket and by both estimates, the order's own and the mix below, in quarter powers of two: bucket, n and the estimates' means."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for answers, *columns in zip(*(b.column(c).to_pylist() for c in ("answers", "folds", "ends", "places", "words")), strict=True):
+            for found, *columns in zip(*(b.column(c).to_pylist() for c in ("answers", "folds", "ends", "places", "words")), strict=True):
                 x = _Block(*columns)
-                pair, context, word = (c[x.trained] - 1 for c in _counts(x, answers))
-                if not len(pair):
+                if not x.trained.any():
                     continue
-                two, one = pair / np.maximum(context, 1), word / max(total - 1, 1)
-                q = [np.where(f > 0, np.floor(2 * np.log2(np.maximum(f, 1e-300))), 1).astype(np.int64) for f in (two, one)]
-                bucket = _bucket(context)
+                counts, contexts = ([c[x.trained] - 1 if len(c) else c for c in part] for part in x.counts(found))
+                total = shares.total - 1
+                if order:
+                    below = shares.probability(counts, contexts, total)
+                    upper, bucket = counts[order] / np.maximum(contexts[order], 1), bucket_of(contexts[order])
+                else:
+                    upper, below, bucket = counts[0] / max(total, 1), np.full(len(counts[0]), 1 / (shares.distinct + 1)), np.ones(len(counts[0]), np.int64)
+                q = [np.where(f > 0, np.floor(4 * np.log2(np.maximum(f, 1e-300))), 1).astype(np.int64) for f in (upper, below)]
                 keys, which = np.unique(np.stack([bucket, *q], 1), axis=0, return_inverse=True)
                 which = which.reshape(-1)
-                columns = [*keys.T, np.bincount(which), np.bincount(which, two), np.bincount(which, one)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [c.split()[0] for c in CELLS.split(", ")])
-
-    return answered.mapInArrow(run, CELLS).groupBy("bucket", "q2", "q1").agg(F.sum("n").alias("n"), F.sum("s2").alias("s2"), F.sum("s1").alias("s1"))
-
-
-def learn(bucket: np.ndarray, n: np.ndarray, two: np.ndarray, one: np.ndarray, distinct: int, rounds: int = 60) -> np.ndarray:
-    """Weights (pair, word, none) of each bucket by expectation-maximisation, one pseudo-token for each."""
-    out = np.tile([0.0, 0.9, 0.1], (BUCKETS, 1))
-    for b in range(BUCKETS):
-        own = bucket == b
-        estimates = np.stack([two[own] if b else np.zeros(int(own.sum())), one[own], np.full(int(own.sum()), 1 / (distinct + 1))], 1)
-        start = np.array([0.3 if b else 0.0, 0.6, 0.1])
-        weights = start / start.sum()
-        for _ in range(rounds if own.any() else 0):
-            share = estimates * weights
-            share *= (n[own] / share.sum(1))[:, None]
-            weights = share.sum(0) + (weights > 0)
-            weights /= weights.sum()
-        out[b] = weights
+                out = [*keys.T, np.bincount(which), np.bincount(which, upper), np.bincount(which, below)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], [c.split()[0] for c in CELLS.split(", ")])
+
+    cells = answered.mapInArrow(run, CELLS).groupBy("bucket", "qu", "ql").agg(F.sum("n").alias("n"), F.sum("su").alias("su"), F.sum("sl").alias("sl")).toArrow()
+    n = cells["n"].to_numpy().astype(float)
+    return cells["bucket"].to_numpy(), n, cells["su"].to_numpy() / n, cells["sl"].to_numpy() / n
+
+
+def learn(bucket: np.ndarray, n: np.ndarray, upper: np.ndarray, lower: np.ndarray, rounds: int = 80) -> np.ndarray:
+    """Each bucket's share of the upper estimate by expectation-maximisation, with one pseudo-token for either side; bucket 0 has none."""
+    out = np.full(BUCKETS, 0.5)
+    held = np.bincount(bucket, n, minlength=BUCKETS)
+    for _ in range(rounds):
+        own = out[bucket] * upper
+        due = n * own / np.maximum(own + (1 - out[bucket]) * lower, 1e-300)
+        out = (np.bincount(bucket, due, minlength=BUCKETS) + 1) / (held + 2)
+    out[0] = 0
     return out
 
 
+def learned(answered: DataFrame, total: int, distinct: int) -> Shares:
+    """The shares of all orders, the lowest first."""
+    shares = Shares(total, distinct)
+    shares.one = float(learn(*_cells(answered, shares, 0))[1])
+    for order in range(1, len(BITS)):
+        shares.more.append(learn(*_cells(answered, shares, order)))
+    return shares
+
+
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -217,30 +322,26 @@ def score(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     made = saved(blocks(docs.select(F.col("doc_id").cast("long"), crc_fold("doc_id", FOLDS).cast("int").alias("fold"), "text")), "lm-blocks")
-    tokens = made.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+    tokens, n_blocks = made.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.count("*")).first()
     parts = int(min(1 << 30, max(shuffle_parts(spark), tokens // PART + 1)))
-    answers = saved(_answers(_asked(made, parts)), "lm-counts")
-    total, distinct = answers.filter("kind = 0").agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
+    crowds = max(1, -(-n_blocks // FAN))
+    found = saved(answers(asked(made, parts, crowds), crowds), "lm-counts")
+    total, distinct = found.filter("kind = 0").agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
     deleted = made.filter("deleted")
-    cells = _cells(_answered(deleted, answers.join(deleted.select("block"), "block", "left_semi")), total).toArrow()
-    n = cells["n"].to_numpy()
-    weights = learn(cells["bucket"].to_numpy(), n, cells["s2"].to_numpy() / n, cells["s1"].to_numpy() / n, distinct)
+    shares = learned(saved(_answered(deleted, found.join(deleted.select("block"), "block", "left_semi")), "lm-deleted"), total, distinct)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for answers, docs, *columns in zip(*(b.column(c).to_pylist() for c in ("answers", "docs", "folds", "ends", "places", "words")), strict=True):
+            for own, ids, *columns in zip(*(b.column(c).to_pylist() for c in ("answers", "docs", "folds", "ends", "places", "words")), strict=True):
                 x = _Block(*columns)
-                pair, context, word = _counts(x, answers)
-                base = np.log10((word + 0.1) / (total + 0.1 * (distinct + 1)))
-                own = weights[_bucket(context)]
-                full = base if not total else np.log10(own[:, 0] * pair / np.maximum(context, 1) + own[:, 1] * word / total + own[:, 2] / (distinct + 1))
-                starts = np.concatenate([[0], x.ends[:-1]])
-                ids = pa.array(_unpack(docs, np.int64), mask=x.folds < 0)
+                counts, contexts = x.counts(own)
+                base = np.log10((counts[0] + 0.1) / (total + 0.1 * (distinct + 1)))
+                full = np.log10(shares.probability(counts, contexts, total)) if total else base
                 held = pa.array(x.folds <= 0)
-                columns = [ids, held, pa.array(x.ends - starts), pa.array(np.add.reduceat((word > 0).astype(np.int64), starts)), pa.array(np.full(len(starts), total)), pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(full, starts))]
-                yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in SCORES.split(", ")])
+                out = [pa.array(_unpack(ids, np.int64), mask=x.folds < 0), held, pa.array(x.ends - x.starts), pa.array(np.add.reduceat((counts[0] > 0).astype(np.int64), x.starts)), pa.array(np.full(len(x.starts), total)), pa.array(np.add.reduceat(base, x.starts)), pa.array(np.add.reduceat(full, x.starts))]
+                yield pa.RecordBatch.from_arrays(out, [c.split()[0] for c in SCORES.split(", ")])
 
-    return _answered(made, answers).mapInArrow(run, SCORES)
+    return _answered(made, found).mapInArrow(run, SCORES)
 
 
 def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
