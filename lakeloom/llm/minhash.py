@@ -240,8 +240,9 @@ def near_links(reps: DataFrame, docs: DataFrame, k: int, similarity: int) -> Dat
     pairs = _hubs(cells, reps.select("rep", "size"), similarity)
     members = pairs.select(F.col("a").alias("rep")).unionAll(pairs.select("b")).distinct()
     needed = saved(reps.select("rep", "doc_id", "t").join(members, "rep"), "family-members")
-    # equal rows give a class one text; the join has dealt and sorted them already
-    texts = saved(docs.join(needed, ["doc_id", "t"]).groupBy("doc_id", "t", "rep").agg(F.first("text").alias("text")).select("rep", "text"), "family-texts")
+    # ids first: they are few bytes, so that most texts need not move; equal rows give a class one text
+    near = docs.join(needed.select("doc_id").distinct(), "doc_id", "left_semi")
+    texts = saved(near.join(needed, ["doc_id", "t"]).groupBy("doc_id", "t", "rep").agg(F.first("text").alias("text")).select("rep", "text"), "family-texts")
     seen = saved(compared(pairs, texts, k, similarity), "compared")
     offered, holding = _offers(seen)
     x = offered.select("b", "n", "mark", *[F.col(c).alias(f"x_{c}") for c in ("a", "linked", "size", "all", *SKETCH)])
