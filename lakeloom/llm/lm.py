@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import crc_fold, saved, shuffle_parts, small_batches, table
-from .textkit import FACTORS, U, buffers, hash_words, lowered, mix, slices
+from .textkit import FACTORS, U, buffers, hash_words, lowered, mix, pack, pack_keys, part_of, slices, unpack, unpack_keys
 
 FOLDS, DELETED = 10, 1
 #: Bytes of text in a block, tokens for each part of the hash range, and blocks in a group of a part's requests.
@@ -42,33 +42,6 @@ BLOCK, PART, FAN = 4 << 20, 4_000_000, 4096
 BITS = (64, 56, 56)
 EXACT, BUCKETS = 8, 64
 _END = U(0x5D1E0F3A9B7C2461)
-_ZSTD = pa.Codec("zstd")
-#: Shorter arrays aren't compressed.
-_LEAST = 256
-
-
-def _pack(x: np.ndarray) -> bytes:
-    """Bytes by significance, compressed: counts, ranks and steps have mostly zero high bytes."""
-    planes = np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes() if len(x) else b""
-    return len(x).to_bytes(8, "little") + (_ZSTD.compress(planes, asbytes=True) if len(planes) >= _LEAST else planes)
-
-
-def _unpack(data: bytes, kind: type) -> np.ndarray:
-    n, size = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
-    if not n:
-        return np.zeros(0, kind)
-    planes = np.frombuffer(_ZSTD.decompress(data[8:], n * size, asbytes=True) if n * size >= _LEAST else data[8:], np.uint8)
-    return np.ascontiguousarray(planes.reshape(size, n).T).reshape(-1).view(kind)
-
-
-def _pack_keys(keys: np.ndarray) -> bytes:
-    """Ascending keys by their steps."""
-    return _pack(np.diff(keys, prepend=keys.dtype.type(0)))
-
-
-def _unpack_keys(data: bytes) -> np.ndarray:
-    return np.cumsum(_unpack(data, U), dtype=U)
-
 
 BLOCKS = "block long, deleted boolean, tokens long, docs binary, folds binary, ends binary, places binary, words binary"
 
@@ -95,7 +68,7 @@ def blocks(docs: DataFrame) -> DataFrame:
                     rank[order] = np.arange(len(order), dtype=np.uint32)
                     ids = b.column("doc_id").to_numpy(zero_copy_only=False)
                     missing = np.asarray(b.column("doc_id").is_null())
-                    row = [number, deleted, len(tokens), _pack(np.where(missing, 0, ids).astype(np.int64)), _pack(np.where(missing, -1, b.column("fold").to_numpy()).astype(np.int8)), _pack(ends.astype(np.int64)), _pack(rank[place]), known[order].tobytes()]
+                    row = [number, deleted, len(tokens), pack(np.where(missing, 0, ids).astype(np.int64)), pack(np.where(missing, -1, b.column("fold").to_numpy()).astype(np.int8)), pack(ends.astype(np.int64)), pack(rank[place]), known[order].tobytes()]
                     number += 1
                     yield pa.RecordBatch.from_pylist([dict(zip(("block", "deleted", "tokens", "docs", "folds", "ends", "places", "words"), row, strict=True))], pa.schema([("block", pa.int64()), ("deleted", pa.bool_()), ("tokens", pa.int64()), *[(c, pa.binary()) for c in ("docs", "folds", "ends", "places", "words")]]))
 
@@ -106,9 +79,9 @@ class _Block:
     """A block's row, unpacked; by order, its distinct keys in ascending order and each token's place among them."""
 
     def __init__(self, folds: bytes, ends: bytes, places: bytes, words: bytes):
-        self.folds, self.ends = _unpack(folds, np.int8), _unpack(ends, np.int64)
+        self.folds, self.ends = unpack(folds, np.int8), unpack(ends, np.int64)
         self.starts = np.concatenate([[0], self.ends[:-1]])
-        known, rank = np.frombuffer(words, U), _unpack(places, np.uint32)
+        known, rank = np.frombuffer(words, U), unpack(places, np.uint32)
         order = np.argsort(known)
         back = np.empty(len(order), np.int64)
         back[order] = np.arange(len(order))
@@ -134,7 +107,7 @@ class _Block:
         found = []
         for kind, of in enumerate(self.of):
             own = sorted((a["part"], a["n"]) for a in answers if a["kind"] == kind)
-            found.append(np.concatenate([_unpack(n, U) for _, n in own]).astype(np.int64))
+            found.append(np.concatenate([unpack(n, U) for _, n in own]).astype(np.int64))
         counts = [n[of] for n, of in zip(found, self.of, strict=True)]
         context = found[0][self.before]
         two = np.roll(counts[1], 1)
@@ -142,10 +115,6 @@ class _Block:
         return counts, [np.zeros(0, np.int64), context, two]
 
 
-def _part_of(keys: np.ndarray, parts: int, bits: int) -> np.ndarray:
-    return (((keys << U(64 - bits)) >> U(32)) * U(parts) >> U(32)).astype(np.int64)
-
-
 ASKED = "kind int, part int, crowd int, block long, keys binary, n binary"
 
 
@@ -159,9 +128,9 @@ def asked(made: DataFrame, parts: int, crowds: int) -> DataFrame:
                 crowd = int(mix(np.array([number], U))[0] % U(crowds))
                 for kind, (keys, of) in enumerate(zip(x.keys, x.of, strict=True)):
                     n = np.bincount(of[x.trained], minlength=len(keys)).astype(U)
-                    part = _part_of(keys, parts, BITS[kind])
+                    part = part_of(keys, parts, BITS[kind])
                     cuts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(keys))
-                    rows = [(kind, part[i], crowd, number, _pack_keys(keys[i:j]), _pack(n[i:j])) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+                    rows = [(kind, part[i], crowd, number, pack_keys(keys[i:j]), pack(n[i:j])) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], [c.split()[0] for c in ASKED.split(", ")])
 
     return made.mapInArrow(run, ASKED)
@@ -185,7 +154,7 @@ def _table(rows: list[tuple], kinds: str) -> pa.Table:
 
 
 def _lists(group: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    return [_unpack_keys(x) for x in group.column("keys").to_pylist()], [_unpack(x, U) for x in group.column("n").to_pylist()]
+    return [unpack_keys(x) for x in group.column("keys").to_pylist()], [unpack(x, U) for x in group.column("n").to_pylist()]
 
 
 def answers(requests: DataFrame, crowds: int) -> DataFrame:
@@ -194,7 +163,7 @@ def answers(requests: DataFrame, crowds: int) -> DataFrame:
     def answer(group: pa.Table) -> pa.Table:
         kind, part, crowd = (group.column(c)[0].as_py() for c in ("kind", "part", "crowd"))
         _, sums, places = _summed(*_lists(group))
-        rows = [(kind, part, crowd, block, _pack(sums[p]), 0, 0) for block, p in zip(group.column("block").to_pylist(), places, strict=True)]
+        rows = [(kind, part, crowd, block, pack(sums[p]), 0, 0) for block, p in zip(group.column("block").to_pylist(), places, strict=True)]
         rows[0] = (*rows[0][:5], int(sums.sum(dtype=np.int64)), int((sums > 0).sum()))
         return _table(rows, ANSWER)
 
@@ -207,21 +176,21 @@ def answers(requests: DataFrame, crowds: int) -> DataFrame:
         """The crowd's sums, as a row without block, and each block's places among them, as keys."""
         kind, part, crowd = (group.column(c)[0].as_py() for c in ("kind", "part", "crowd"))
         known, sums, places = _summed(*_lists(group))
-        rows = [(kind, part, crowd, None, _pack_keys(known), _pack(sums))]
-        rows += [(kind, part, crowd, block, _pack_keys(p.astype(U)), b"") for block, p in zip(group.column("block").to_pylist(), places, strict=True)]
+        rows = [(kind, part, crowd, None, pack_keys(known), pack(sums))]
+        rows += [(kind, part, crowd, block, pack_keys(p.astype(U)), b"") for block, p in zip(group.column("block").to_pylist(), places, strict=True)]
         return _table(rows, placed)
 
     def totals(group: pa.Table) -> pa.Table:
         kind, part = (group.column(c)[0].as_py() for c in ("kind", "part"))
         _, sums, places = _summed(*_lists(group))
-        rows = [(kind, part, crowd, None, _pack(sums[p]), 0, 0) for crowd, p in zip(group.column("crowd").to_pylist(), places, strict=True)]
+        rows = [(kind, part, crowd, None, pack(sums[p]), 0, 0) for crowd, p in zip(group.column("crowd").to_pylist(), places, strict=True)]
         rows[0] = (*rows[0][:5], int(sums.sum(dtype=np.int64)), int((sums > 0).sum()))
         return _table(rows, ANSWER)
 
     def back(own: pa.Table, total: pa.Table) -> pa.Table:
         kind, part, crowd, _, n, whole, distinct = (total.column(c)[0].as_py() for c in [c.split()[0] for c in ANSWER.split(", ")])
-        sums = _unpack(n, U)
-        rows = [(kind, part, crowd, block, _pack(sums[_unpack_keys(keys).astype(np.int64)]), 0, 0) for block, keys in zip(own.column("block").to_pylist(), own.column("keys").to_pylist(), strict=True)]
+        sums = unpack(n, U)
+        rows = [(kind, part, crowd, block, pack(sums[unpack_keys(keys).astype(np.int64)]), 0, 0) for block, keys in zip(own.column("block").to_pylist(), own.column("keys").to_pylist(), strict=True)]
         rows[0] = (*rows[0][:5], whole, distinct)
         return _table(rows, ANSWER)
 
@@ -338,7 +307,7 @@ def score(docs: DataFrame) -> DataFrame:
                 base = np.log10((counts[0] + 0.1) / (total + 0.1 * (distinct + 1)))
                 full = np.log10(shares.probability(counts, contexts, total)) if total else base
                 held = pa.array(x.folds <= 0)
-                out = [pa.array(_unpack(ids, np.int64), mask=x.folds < 0), held, pa.array(x.ends - x.starts), pa.array(np.add.reduceat((counts[0] > 0).astype(np.int64), x.starts)), pa.array(np.full(len(x.starts), total)), pa.array(np.add.reduceat(base, x.starts)), pa.array(np.add.reduceat(full, x.starts))]
+                out = [pa.array(unpack(ids, np.int64), mask=x.folds < 0), held, pa.array(x.ends - x.starts), pa.array(np.add.reduceat((counts[0] > 0).astype(np.int64), x.starts)), pa.array(np.full(len(x.starts), total)), pa.array(np.add.reduceat(base, x.starts)), pa.array(np.add.reduceat(full, x.starts))]
                 yield pa.RecordBatch.from_arrays(out, [c.split()[0] for c in SCORES.split(", ")])
 
     return _answered(made, found).mapInArrow(run, SCORES)

@@ -133,3 +133,36 @@ def slices(batch: pa.RecordBatch, text: str, most: int = 4 << 20) -> Iterator[pa
         end = max(at + 1, int(np.searchsorted(sizes, done + most, "right")))
         yield batch.slice(at, end - at)
         at = end
+
+
+_ZSTD = pa.Codec("zstd")
+#: Shorter arrays aren't compressed.
+_LEAST = 256
+
+
+def pack(x: np.ndarray) -> bytes:
+    """Numbers as bytes by significance, compressed: counts, ranks and steps have mostly zero high bytes."""
+    planes = np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes() if len(x) else b""
+    return len(x).to_bytes(8, "little") + (_ZSTD.compress(planes, asbytes=True) if len(planes) >= _LEAST else planes)
+
+
+def unpack(data: bytes, kind: type) -> np.ndarray:
+    n, size = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+    if not n:
+        return np.zeros(0, kind)
+    planes = np.frombuffer(_ZSTD.decompress(data[8:], n * size, asbytes=True) if n * size >= _LEAST else data[8:], np.uint8)
+    return np.ascontiguousarray(planes.reshape(size, n).T).reshape(-1).view(kind)
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys by their steps."""
+    return pack(np.diff(keys, prepend=keys.dtype.type(0)))
+
+
+def unpack_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack(data, U), dtype=U)
+
+
+def part_of(keys: np.ndarray, parts: int, bits: int = 64) -> np.ndarray:
+    """The part of the range of keys of so many bits that each key is in; it ascends with the keys."""
+    return (((keys << U(64 - bits)) >> U(32)) * U(parts) >> U(32)).astype(np.int64)

@@ -128,9 +128,9 @@ def test_copies_score_apart(documents):
 
 def test_packing():
     for x in (np.zeros(0, np.uint32), np.arange(1000, dtype=np.uint32) * 77, np.array([-1, 5], np.int8)):
-        assert (lm._unpack(lm._pack(x), x.dtype) == x).all()
+        assert (lm.unpack(lm.pack(x), x.dtype) == x).all()
     keys = np.sort(np.arange(5, 900, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    assert (lm._unpack_keys(lm._pack_keys(keys)) == keys).all() and (lm._unpack_keys(lm._pack_keys(keys[:1])) == keys[:1]).all()
+    assert (lm.unpack_keys(lm.pack_keys(keys)) == keys).all() and (lm.unpack_keys(lm.pack_keys(keys[:1])) == keys[:1]).all()
 
 
 def test_shares():
