@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 U = np.uint64
 _SPACE = np.zeros(256, bool)
@@ -122,6 +123,17 @@ def combine(words: np.ndarray, k: int) -> np.ndarray:
     return total
 
 
+def rolled(words: np.ndarray, k: int) -> np.ndarray:
+    """Hash of each run of k words from one running sum: for long runs, as its cost doesn't grow with k."""
+    n = len(words) - k + 1
+    if n < 1:
+        return np.zeros(0, U)
+    power, inverse = _tables(len(words))
+    total = np.zeros(len(words) + 1, U)
+    np.cumsum(words * power[: len(words)], out=total[1:])
+    return mix((total[k:] - total[:n]) * inverse[:n] + U(k))
+
+
 def slices(batch: pa.RecordBatch, text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about ``most`` bytes of text each, one row at least."""
     at = 0
@@ -166,3 +178,25 @@ def unpack_keys(data: bytes) -> np.ndarray:
 def part_of(keys: np.ndarray, parts: int, bits: int = 64) -> np.ndarray:
     """The part of the range of keys of so many bits that each key is in; it ascends with the keys."""
     return (((keys << U(64 - bits)) >> U(32)) * U(parts) >> U(32)).astype(np.int64)
+
+
+def squeeze(x: bytes) -> bytes:
+    return len(x).to_bytes(8, "little") + _ZSTD.compress(x, asbytes=True)
+
+
+def squeezed(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text) with each text as compressed bytes, for a shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in slices(whole, "text"):
+                data, offsets = buffers(b.column("text"))
+                made = [squeeze(data[i:j].tobytes()) for i, j in zip(offsets[:-1], offsets[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(made, pa.binary())], ["doc_id", "text"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, text binary")
+
+
+def unsqueezed(column: pa.Array) -> pa.Array:
+    rows = column.to_pylist()
+    return pa.array([_ZSTD.decompress(x[8:], int.from_bytes(x[:8], "little"), asbytes=True) for x in rows], pa.large_binary()).cast(pa.large_string())
