@@ -18,8 +18,8 @@ two estimates in quarter powers of two), bounded by the number of their cells, r
 
 Nulls and edge cases: a NULL or blank text is the end token alone; without training texts the score
 is the base score; repeated rows count and score each; a NULL doc_id counts as the empty text when folds
-are drawn; an empty table gives no rows. Extra columns are ignored. Words are told apart by 64 bits of hash,
-pairs and triples by 56: of D different ones a share of D / 2^56 is expected to meet another.
+are drawn; an empty table gives no rows. Extra columns are ignored. Words are told apart by 64 bits of hash, pairs
+and triples by so many more than the tokens' number has that one in 16 million is expected to meet another.
 """
 
 from __future__ import annotations
@@ -37,9 +37,8 @@ from .textkit import FACTORS, U, buffers, hash_words, lowered, mix, pack, pack_k
 
 FOLDS, DELETED = 10, 1
 #: Bytes of text in a block, tokens for each part of the hash range, and blocks in a group of a part's requests.
-BLOCK, PART, FAN = 4 << 20, 4_000_000, 4096
-#: Bits of a key by order.
-BITS = (64, 56, 56)
+BLOCK, PART, FAN = 4 << 20, 2_000_000, 4096
+ORDERS = 3
 EXACT, BUCKETS = 8, 64
 _END = U(0x5D1E0F3A9B7C2461)
 
@@ -75,10 +74,15 @@ def blocks(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, BLOCKS)
 
 
+def bits_of(tokens: int) -> tuple[int, ...]:
+    """Bits of a key by order."""
+    return (64, *[min(64, tokens.bit_length() + 24)] * (ORDERS - 1))
+
+
 class _Block:
     """A block's row, unpacked; by order, its distinct keys in ascending order and each token's place among them."""
 
-    def __init__(self, folds: bytes, ends: bytes, places: bytes, words: bytes):
+    def __init__(self, bits: tuple[int, ...], folds: bytes, ends: bytes, places: bytes, words: bytes):
         self.folds, self.ends = unpack(folds, np.int8), unpack(ends, np.int64)
         self.starts = np.concatenate([[0], self.ends[:-1]])
         known, rank = np.frombuffer(words, U), unpack(places, np.uint32)
@@ -94,8 +98,8 @@ class _Block:
         earlier[self.starts] = self.before[self.starts]
         first = mix(known * FACTORS[0])
         then = known * FACTORS[1]
-        pairs = mix(first[self.before] + then[word]) >> U(64 - BITS[1])
-        triples = mix(mix(first[earlier] + then[self.before]) + known[word] * FACTORS[2]) >> U(64 - BITS[2])
+        pairs = mix(first[self.before] + then[word]) >> U(64 - bits[1])
+        triples = mix(mix(first[earlier] + then[self.before]) + known[word] * FACTORS[2]) >> U(64 - bits[2])
         self.keys, self.of = [known], [word]
         for made in (pairs, triples):
             keys, of = np.unique(made, return_inverse=True)
@@ -118,17 +122,17 @@ class _Block:
 ASKED = "kind int, part int, crowd int, block long, keys binary, n binary"
 
 
-def asked(made: DataFrame, parts: int, crowds: int) -> DataFrame:
+def asked(made: DataFrame, bits: tuple[int, ...], parts: int, crowds: int) -> DataFrame:
     """Each block's distinct keys with its own training counts, by the parts it has keys in. A block is in one crowd."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for number, *columns in zip(*(b.column(c).to_pylist() for c in ("block", "folds", "ends", "places", "words")), strict=True):
-                x = _Block(*columns)
+                x = _Block(bits, *columns)
                 crowd = int(mix(np.array([number], U))[0] % U(crowds))
                 for kind, (keys, of) in enumerate(zip(x.keys, x.of, strict=True)):
                     n = np.bincount(of[x.trained], minlength=len(keys)).astype(U)
-                    part = part_of(keys, parts, BITS[kind])
+                    part = part_of(keys, parts, bits[kind])
                     cuts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(keys))
                     rows = [(kind, part[i], crowd, number, pack_keys(keys[i:j]), pack(n[i:j])) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], [c.split()[0] for c in ASKED.split(", ")])
@@ -235,13 +239,13 @@ class Shares:
 CELLS = "bucket long, qu long, ql long, n long, su double, sl double"
 
 
-def _cells(answered: DataFrame, shares: Shares, order: int) -> tuple[np.ndarray, ...]:
+def _cells(answered: DataFrame, bits: tuple[int, ...], shares: Shares, order: int) -> tuple[np.ndarray, ...]:
     """Held-out tokens by bucket and by both estimates, the order's own and the mix below, in quarter powers of two: bucket, n and the estimates' means."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for found, *columns in zip(*(b.column(c).to_pylist() for c in ("answers", "folds", "ends", "places", "words")), strict=True):
-                x = _Block(*columns)
+                x = _Block(bits, *columns)
                 if not x.trained.any():
                     continue
                 counts, contexts = ([c[x.trained] - 1 if len(c) else c for c in part] for part in x.counts(found))
@@ -274,12 +278,12 @@ def learn(bucket: np.ndarray, n: np.ndarray, upper: np.ndarray, lower: np.ndarra
     return out
 
 
-def learned(answered: DataFrame, total: int, distinct: int) -> Shares:
+def learned(answered: DataFrame, bits: tuple[int, ...], total: int, distinct: int) -> Shares:
     """The shares of all orders, the lowest first."""
     shares = Shares(total, distinct)
-    shares.one = float(learn(*_cells(answered, shares, 0))[1])
-    for order in range(1, len(BITS)):
-        shares.more.append(learn(*_cells(answered, shares, order)))
+    shares.one = float(learn(*_cells(answered, bits, shares, 0))[1])
+    for order in range(1, ORDERS):
+        shares.more.append(learn(*_cells(answered, bits, shares, order)))
     return shares
 
 
@@ -293,16 +297,16 @@ def score(docs: DataFrame) -> DataFrame:
     made = saved(blocks(docs.select(F.col("doc_id").cast("long"), crc_fold("doc_id", FOLDS).cast("int").alias("fold"), "text")), "lm-blocks")
     tokens, n_blocks = made.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.count("*")).first()
     parts = int(min(1 << 30, max(shuffle_parts(spark), tokens // PART + 1)))
-    crowds = max(1, -(-n_blocks // FAN))
-    found = saved(answers(asked(made, parts, crowds), crowds), "lm-counts")
+    crowds, bits = max(1, -(-n_blocks // FAN)), bits_of(tokens)
+    found = saved(answers(asked(made, bits, parts, crowds), crowds), "lm-counts")
     total, distinct = found.filter("kind = 0").agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
     deleted = made.filter("deleted")
-    shares = learned(saved(_answered(deleted, found.join(deleted.select("block"), "block", "left_semi")), "lm-deleted"), total, distinct)
+    shares = learned(saved(_answered(deleted, found.join(deleted.select("block"), "block", "left_semi")), "lm-deleted"), bits, total, distinct)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for own, ids, *columns in zip(*(b.column(c).to_pylist() for c in ("answers", "docs", "folds", "ends", "places", "words")), strict=True):
-                x = _Block(*columns)
+                x = _Block(bits, *columns)
                 counts, contexts = x.counts(own)
                 base = np.log10((counts[0] + 0.1) / (total + 0.1 * (distinct + 1)))
                 full = np.log10(shares.probability(counts, contexts, total)) if total else base
