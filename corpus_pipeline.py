@@ -1,4 +1,10 @@
-"""A corpus pipeline of five stages over documents; each stage's rows are written and read again."""
+"""A corpus pipeline of five stages over documents; each stage's rows are written and read again.
+
+NULL and empty texts are no one's copies, hold no lines to lose, no toxic words and no benchmark items, so they
+stay until the mix, which takes them as often as other rows of their source; rows that repeat a doc_id are
+one document to the stages that compare documents; an empty table goes through as such; further columns of
+documents pass all stages, whatever their names.
+"""
 
 from __future__ import annotations
 
@@ -6,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.llm import decontam, line_dedup, minhash, mixing, toxicity
-from lakeloom.llm.common import saved, table
+from lakeloom.llm.common import free_name, saved, table
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the threshold."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score_texts(docs, model, "_tox").filter(F.col("_tox") < toxicity.THRESHOLD).select(*docs.columns)
+    name = free_name(docs, "_tox")
+    return toxicity.score_texts(docs, model, name).filter(F.col(name) < toxicity.THRESHOLD).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

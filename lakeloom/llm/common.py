@@ -28,6 +28,23 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def aside(df: DataFrame, prefix: str) -> tuple[DataFrame, dict[str, str]]:
+    """df with the columns whose names start as an operator's working columns do under other names, and how to name them back."""
+    moved: dict[str, str] = {}
+    for c in [c for c in df.columns if c.lower().startswith(prefix)]:
+        moved[c] = free_name(df, f"kept{c}")
+        df = df.withColumnRenamed(c, moved[c])
+    return df, {v: k for k, v in moved.items()}
+
+
 def scratch(spark: SparkSession) -> str:
     """A folder that the driver and all executors share: the session's checkpoint folder.
 
@@ -67,6 +84,26 @@ def forget(df: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def bucketed(df: DataFrame, name: str, buckets: int, keys: list[str]) -> DataFrame:
+    """The rows as a table in the shared folder, bucketed and sorted by ``keys``: joins of such tables by them need no shuffle.
+
+    Rows that are dealt by the keys to so many partitions already give one file a bucket. The session knows the table by a name of its own.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    table_name = f"lakeloom_{path.rsplit('-', 1)[1]}"
+    df.write.format("parquet").option("path", path).option("compression", "zstd").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table_name)
+    out = spark.table(table_name)
+    out.saved_at, out.saved_as = path, table_name
+    return out
+
+
+def forget_table(df: DataFrame) -> None:
+    """Delete a table that ``bucketed`` wrote."""
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {df.saved_as}")
+    forget(df)
+
+
 def small_batches(spark: SparkSession, most: int = 16 << 20) -> None:
     """Arrow batches of the session at most so large: a task holds a batch several times, in the JVM and in Python."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"

@@ -7,7 +7,7 @@ probability rate - floor(rate), decided by a hash of a seed and its doc_id, so t
 Nulls and edge cases: a NULL source is a source of its own, last in order; a NULL or blank text
 has size 0 and is emitted like any other row of its source; a source of size 0 has target 0 and
 rate 0; rows that repeat a doc_id draw alike; a NULL doc_id draws as the text 'null'; an empty
-table gives an empty mix. Extra columns pass through ``mix``; working columns start with ``_mix``.
+table gives an empty mix. Extra columns pass through ``mix``, whatever their names.
 Only built-in functions are used. The per-source table joins back by an ordinary join, which
 Spark may broadcast when its measured size is below the session's threshold and which AQE splits
 on a hot source otherwise.
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, saved, table
+from .common import WORD, aside, saved, table
 from .ordering import running
 
 #: A document is emitted at most this often.
@@ -69,12 +69,13 @@ def plan_copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
     """The mixed corpus: every row of docs as often as its source's rate says, columns unchanged."""
+    docs, back = aside(docs, "_mix")
     sizes = saved(docs.select(F.col("source").alias("_mix_source"), size_of(F.col("text")).alias("size")).groupBy("_mix_source").agg(F.sum("size").alias("_mix_total")), "mix-sources")
     per = saved(targets(sizes, weights, most), "mix-targets")
     rate = F.when(F.col("_mix_total") > 0, F.col("_mix_target") / F.col("_mix_total")).otherwise(F.lit(0.0))
     copies = F.least(F.floor(rate) + F.when(draw(docs["doc_id"], seed) < rate - F.floor(rate), 1).otherwise(0), F.lit(most)).cast("int")
     rated = docs.join(per, docs["source"].eqNullSafe(per["_mix_source"])).withColumn("_mix_copies", copies).filter("_mix_copies > 0")
-    return rated.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))).select(*[docs[c] for c in docs.columns])
+    return rated.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))).select(*[docs[c] for c in docs.columns]).withColumnsRenamed(back)
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

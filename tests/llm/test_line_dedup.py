@@ -53,6 +53,30 @@ def test_empty_and_extra_columns(documents):
     assert out.columns[: len(df.columns)] == df.columns and {r["keeper"] for r in out.collect()} == {"mine"}
 
 
+def test_runs_are_not_shuffled(spark, documents):
+    """Neither a batch's anti-join nor a compaction exchanges what lies in runs."""
+    docs = documents([(i, "\n".join(f"{LONG} {j}" for j in range(i % 7))) for i in range(60)])
+    runs = line_dedup.build_runs(docs, batches=5, fanout=2)
+    assert len(runs.open) > 1 and any(runs.done)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        held = [r for level in (*runs.open, *runs.done) for r in level]
+        for plan in (line_dedup.LineRuns.joined(held[0], held[-1]), held[0].join(held[-1].select("h1", "h2"), ["h1", "h2"], "left_anti")):
+            assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    runs.forget()
+    assert not spark.catalog.listTables() or not any(t.name.startswith("lakeloom_") for t in spark.catalog.listTables())
+
+
+def test_batches_follow_the_size(documents, monkeypatch):
+    docs = documents([(i, "x" * 1000) for i in range(30)])
+    assert line_dedup.batches_of(docs) == line_dedup.LEAST_BATCHES
+    monkeypatch.setattr(line_dedup, "BATCH", 5000)
+    assert line_dedup.batches_of(docs) == 6 and line_dedup.batches_of(documents([])) == line_dedup.LEAST_BATCHES
+
+
 def test_query(spark, sf):
     same(line_dedup.op1_line_dedup(spark, sf), SQL["op1_line_dedup"], sf)
     row = line_dedup.op1_line_dedup(spark, sf).filter("n_dropped = 0").first()

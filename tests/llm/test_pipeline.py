@@ -44,7 +44,7 @@ def test_near(stages):
 def test_leaks(stages, spark, sf):
     items = [decontam.normalised(r["text"]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     left = [decontam.normalised(r["text"]) for r in stages[4].collect()]
-    assert not any(i in t for t in left for i in items if len(i) >= decontam.MIN_CHARS)
+    assert not any(i in t for t in left for i in items if len(i) >= decontam.SHORT)
     assert stages[4].exceptAll(stages[3]).count() == 0
 
 
@@ -56,3 +56,39 @@ def test_mix(stages):
 
 def test_run_agrees(spark, sf, stages):
     assert sorted(r["doc_id"] for r in cp.run(spark, sf).collect()) == sorted(r["doc_id"] for r in stages[-1].collect())
+
+
+@pytest.fixture
+def folder(spark, sf, tmp_path):
+    """Tables with given documents, and labels and benchmark items that fit them or not."""
+
+    def make(name, docs):
+        path = str(tmp_path / name)
+        docs.write.parquet(f"{path}/documents.parquet")
+        for t in ("labels", "benchmark"):
+            spark.read.parquet(f"{sf}/{t}.parquet").write.parquet(f"{path}/{t}.parquet")
+        return path
+
+    return make
+
+
+def test_odd_documents(spark, folder, documents, odd_rows):
+    """NULLs, empty and long texts, repeated rows and ids, ties, and columns with the names of working columns go through."""
+    docs = documents([*odd_rows, (20, "word"), (20, "other text"), (21, None, None), (22, "", None)])
+    for c in ("_tox", "_ld_lines", "_mix_copies", "score", "rep", "component_id", "band", "kept"):
+        docs = docs.withColumn(c, F.concat(F.lit(f"{c}-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+    path = folder("odd", docs)
+    frame, seen = spark.read.parquet(f"{path}/documents.parquet"), []
+    for i, (_, stage) in enumerate(cp.STAGES):
+        stage(spark, frame, path).write.parquet(f"{path}/{i}")
+        frame = spark.read.parquet(f"{path}/{i}")
+        assert frame.columns == docs.columns
+        for c in ("_tox", "_ld_lines", "_mix_copies", "score", "rep", "component_id", "band", "kept"):
+            assert frame.filter(F.col(c) != F.concat(F.lit(f"{c}-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none")))).count() == 0
+        seen.append(frame)
+    # rows without text or id outlast all stages but the mix
+    assert seen[3].filter("doc_id IS NULL").count() == 2 and {r["doc_id"] for r in seen[3].select("doc_id").collect()} >= {1, 2, 3, 21, 22}
+
+
+def test_no_documents(spark, folder, documents):
+    assert cp.run(spark, folder("none", documents([]))).count() == 0
