@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -23,6 +24,17 @@ def crc_fold(column: str, folds: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % folds
 
 
+#: DuckDB SQL: crc_table, one row with the table of the crc32 polynomial.
+CRC_SQL = """crc_steps(i, n, c) AS (SELECT i, 0, i FROM range(256) r(i) UNION ALL SELECT i, n + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END FROM crc_steps WHERE n < 8),
+crc_table AS (SELECT list(c ORDER BY i) AS crcs FROM crc_steps WHERE n = 8)"""
+
+
+def crc_sql(column: str) -> str:
+    """DuckDB SQL: crc32 of the value as text, with crc_table joined."""
+    letters = f"list_transform(string_split({column}::VARCHAR, ''), lambda x: ascii(x)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {letters}), lambda a, b: xor(a >> 8, crcs[(xor(a, b) & 255) + 1])), 4294967295::BIGINT)"
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, all else as it is. Pure ASCII texts take the fast built-in."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
@@ -104,6 +116,16 @@ def forget_table(df: DataFrame) -> None:
     forget(df)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs whose results are saved.
+
+    It deletes them once the driver's garbage collector finds their plans gone, which a driver with little
+    garbage puts off for up to ``spark.cleaner.periodicGC.interval``; the end of a phase with large shuffles asks for it.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def small_batches(spark: SparkSession, most: int = 16 << 20) -> None:
     """Arrow batches of the session at most so large: a task holds a batch several times, in the JVM and in Python."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
