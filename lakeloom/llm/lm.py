@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_fold, saved, shuffle_parts, small_batches, table
+from .common import CRC_SQL, LOWER, UPPER, crc_fold, crc_sql, release, saved, shuffle_parts, small_batches, table
 from .textkit import FACTORS, U, buffers, hash_words, lowered, mix, pack, pack_keys, part_of, slices, unpack, unpack_keys
 
 FOLDS, DELETED = 10, 1
@@ -299,6 +299,7 @@ def score(docs: DataFrame) -> DataFrame:
     parts = int(min(1 << 30, max(shuffle_parts(spark), tokens // PART + 1)))
     crowds, bits = max(1, -(-n_blocks // FAN)), bits_of(tokens)
     found = saved(answers(asked(made, bits, parts, crowds), crowds), "lm-counts")
+    release(spark)
     total, distinct = found.filter("kind = 0").agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
     deleted = made.filter("deleted")
     shares = learned(saved(_answered(deleted, found.join(deleted.select("block"), "block", "left_semi")), "lm-deleted"), bits, total, distinct)
@@ -321,4 +322,19 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(table(spark, sf_dir, "documents"))
 
 
-SQL: dict[str, str] = {}
+def lm_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can tell of op10_lm's rows."""
+    return op10_lm(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 4).alias("base_score"))
+
+
+SQL = {
+    "lm_counts": f"""
+WITH RECURSIVE {CRC_SQL},
+w AS (SELECT doc_id, list_append(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+'), '') AS ws, {crc_sql('doc_id')} % {FOLDS} AS fold FROM documents CROSS JOIN crc_table),
+t AS (SELECT doc_id, fold, unnest(ws) AS x FROM w),
+c AS (SELECT x, count(*) AS c FROM t WHERE fold <> 0 GROUP BY x),
+n AS (SELECT sum(c) AS n, count(*) AS v FROM c),
+each AS (SELECT doc_id, fold, coalesce(c, 0) AS c FROM t LEFT JOIN c USING (x))
+SELECT doc_id, fold = 0 AS held_out, count(*)::BIGINT AS n_tokens, (count(*) FILTER (c > 0))::BIGINT AS n_known, any_value(n)::BIGINT AS train_tokens,
+  round(sum(log10((c + 0.1::DOUBLE) / (n + 0.1::DOUBLE * (v + 1)))), 4) AS base_score FROM each CROSS JOIN n GROUP BY doc_id, fold"""
+}

@@ -199,4 +199,14 @@ def op3_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.join(seen, "digest").select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "digest", "shard", "offset", "length", "width", "height", "bits")
 
 
-SQL: dict[str, str] = {}
+def media_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can tell of op3_media's rows, which are read back from the shards."""
+    return op3_media(spark, sf_dir).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", F.length(F.col("digest")).cast("long").alias("digest_chars"), (F.col("width") * F.col("height")).alias("samples"))
+
+
+SQL = {
+    "media_digests": """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, strlen(coalesce(text, '')) AS n FROM documents),
+p AS (SELECT doc_id, n, t || repeat(' ', CASE WHEN n = 0 THEN 192 ELSE (192 - n % 192) % 192 END) AS payload FROM d)
+SELECT doc_id, n::BIGINT AS n_bytes, strlen(payload)::BIGINT AS payload_bytes, sha256(payload) AS payload_sha256, 64::BIGINT AS digest_chars, strlen(payload)::BIGINT AS samples FROM p"""
+}

@@ -8,6 +8,8 @@ import pytest
 
 from lakeloom.llm import lm
 
+from tests.oracle import same
+
 from .conftest import passage
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -142,3 +144,7 @@ def test_shares():
 def test_held_out_texts_do_better_than_the_base(spark, sf):
     got = lm.op10_lm(spark, sf).filter("held_out").toPandas()
     assert got["score"].sum() > got["base_score"].sum()
+
+
+def test_sql(spark, sf):
+    same(lm.lm_counts(spark, sf), lm.SQL["lm_counts"], sf)

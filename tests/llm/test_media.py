@@ -6,6 +6,7 @@ from pyarrow import fs
 
 from lakeloom.llm import media
 from lakeloom.llm.common import scratch_path
+from tests.oracle import same
 
 
 def test_png_round_trip():
@@ -79,3 +80,7 @@ def test_query(spark, sf):
         payload, r = media.pad((text or "").encode()), got[doc_id]
         assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len((text or "").encode()), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]))
         assert r["media_bytes"] == r["length"] and by_text.setdefault(text, (r["media_sha256"], r["feature"])) == (r["media_sha256"], r["feature"])
+
+
+def test_sql(spark, sf):
+    same(media.media_digests(spark, sf), media.SQL["media_digests"], sf)

@@ -9,6 +9,8 @@ from lakeloom.llm import minhash
 from lakeloom.llm.graph import components
 from lakeloom.llm.textkit import U, mix
 
+from tests.oracle import same
+
 from .conftest import WORDS, passage
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -134,3 +136,7 @@ def test_components(spark):
 def test_query(spark, sf):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert found(minhash.op7_minhash(spark, sf)) == brute(rows)
+
+
+def test_sql(spark, sf):
+    same(minhash.op7_minhash(spark, sf), minhash.SQL["op7_minhash"], sf)
