@@ -160,33 +160,43 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], [c.split()[0] for c in COUNTS.split(", ")])
 
 
-def terms(seen: DataFrame, out: int | None) -> tuple[list, list]:
-    """The models' lists from counted grams (COUNTS), but those of one fold: by order, of grams and of contexts, keys and both classes' shares."""
-    own = seen if out is None else seen.filter(F.col("fold") != out)
-    classes = [F.sum(F.when(F.col("toxic") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)]
-    summed = own.groupBy("k", "gram", "start").agg(*classes)
+def terms(seen: DataFrame) -> list[tuple[list, list]]:
+    """The lists of one model for each fold left out, and of the one of all folds, from counted grams (COUNTS).
+
+    A model's lists are, by order, of grams and of contexts, keys and both classes' shares. All models go through
+    one plan, a pair of columns each.
+    """
+    outs = (*FOLDS, None)
+    pairs = [(m, c) for m in range(len(outs)) for c in (0, 1)]
+    each = lambda make: [make(f"n{m}{c}", m, c).alias(f"n{m}{c}") for m, c in pairs]
+    summed = seen.groupBy("k", "gram", "start").agg(*each(lambda n, m, c: F.sum(F.when((F.col("toxic") == c) & (F.lit(outs[m] is None) | (F.col("fold") != F.lit(-1 if outs[m] is None else outs[m]))), F.col("n")).otherwise(0))))
     # raw counts at the top order and for grams that take in the mark before a word; kinds of left neighbours elsewhere
-    raw = summed.filter((F.col("k") == ORDERS - 1) | F.col("start")).select("k", "gram", "n0", "n1")
+    raw = summed.filter((F.col("k") == ORDERS - 1) | F.col("start")).select("k", "gram", *each(lambda n, m, c: F.col(n)))
     inner = summed.filter((F.col("k") > 0) & (~F.col("start") | (F.col("k") == 1)))
     span = F.element_at(F.array(*[F.lit(LETTERS**k) for k in range(ORDERS)]), (F.col("k") + 1).cast("int"))
-    continued = inner.groupBy((F.col("k") - 1).alias("k"), (F.col("gram") % span).alias("gram")).agg(*[F.count_if(F.col(f"n{c}") > 0).alias(f"n{c}") for c in (0, 1)])
-    counts = raw.unionByName(continued).groupBy("k", "gram").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    both = F.col("n0") + F.col("n1")
-    shared = counts.select("k", "gram", F.expr(f"gram div {LETTERS}").alias("ctx"), *[F.when(F.col("k") < SHARED, both).otherwise(F.col(n)).alias(n) for n in ("n0", "n1")])
-    totals = shared.groupBy("k", "ctx").agg(F.sum("n0").alias("t0"), F.sum("n1").alias("t1"))
-    pooled = summed.groupBy("k", "gram").agg(F.sum(both).alias("pool")).filter(F.col("pool") >= RARE)
-    share = lambda c: F.when(F.col(f"n{c}") > DISCOUNT, (F.col(f"n{c}") - DISCOUNT) / F.col(f"t{c}")).otherwise(0.0).alias(f"a{c}")
-    kept = saved(shared.join(pooled, ["k", "gram"]).join(totals, ["k", "ctx"]).select("k", "gram", "ctx", "pool", share(0), share(1)), "tox-terms")
-    grams_, contexts_ = [], []
-    for k in range(ORDERS):
-        # at most MOST rows of five numbers
-        rows = kept.filter(F.col("k") == k).orderBy(F.desc("pool"), "gram").limit(MOST).toArrow()
-        key, ctx = rows["gram"].to_numpy(), rows["ctx"].to_numpy()
-        values = np.stack([rows["a0"].to_numpy(), rows["a1"].to_numpy()], 1).astype(np.float32) if len(key) else np.zeros((0, 2), np.float32)
-        grams_.append((key, values))
-        contexts, which = np.unique(ctx, return_inverse=True)
-        contexts_.append((contexts, np.stack([np.bincount(which, values[:, c], minlength=len(contexts)) for c in (0, 1)], 1).astype(np.float32)))
-    return grams_, contexts_
+    continued = inner.groupBy((F.col("k") - 1).alias("k"), (F.col("gram") % span).alias("gram")).agg(*each(lambda n, m, c: F.count_if(F.col(n) > 0)))
+    counts = raw.unionByName(continued).groupBy("k", "gram").agg(*each(lambda n, m, c: F.sum(n)))
+    both = lambda m: F.col(f"n{m}0") + F.col(f"n{m}1")
+    shared = counts.select("k", "gram", F.expr(f"gram div {LETTERS}").alias("ctx"), *each(lambda n, m, c: F.when(F.col("k") < SHARED, both(m)).otherwise(F.col(n))))
+    totals = shared.groupBy("k", "ctx").agg(*[F.sum(f"n{m}{c}").alias(f"t{m}{c}") for m, c in pairs])
+    pooled = summed.groupBy("k", "gram").agg(*[F.sum(both(m)).alias(f"p{m}") for m in range(len(outs))]).filter(F.col(f"p{len(outs) - 1}") >= RARE)
+    share = lambda m, c: F.when((F.col(f"p{m}") >= RARE) & (F.col(f"n{m}{c}") > DISCOUNT), (F.col(f"n{m}{c}") - DISCOUNT) / F.col(f"t{m}{c}")).otherwise(0.0).cast("float").alias(f"a{m}{c}")
+    last = f"p{len(outs) - 1}"
+    kept = saved(shared.join(pooled, ["k", "gram"]).join(totals, ["k", "ctx"]).select("k", "gram", "ctx", last, *[share(m, c) for m, c in pairs]), "tox-terms")
+    # at most MOST rows of a few numbers an order
+    orders = [kept.filter(F.col("k") == k).orderBy(F.desc(last), "gram").limit(MOST).toArrow() for k in range(ORDERS)]
+    out = []
+    for m in range(len(outs)):
+        grams_, contexts_ = [], []
+        for rows in orders:
+            values = np.stack([rows[f"a{m}{c}"].to_numpy() for c in (0, 1)], 1).astype(np.float32).reshape(-1, 2)
+            known = values.any(1)
+            key, values = rows["gram"].to_numpy()[known], values[known]
+            contexts, which = np.unique(rows["ctx"].to_numpy()[known], return_inverse=True)
+            grams_.append((key, values))
+            contexts_.append((contexts, np.stack([np.bincount(which, values[:, c], minlength=len(contexts)) for c in (0, 1)], 1).astype(np.float32)))
+        out.append((grams_, contexts_))
+    return out
 
 
 def word_evidence(model: Model, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -277,12 +287,13 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     if len(counts) < 2:
         return Model(None, None, None, float(prior))
     seen = saved(sample.mapInArrow(_count, COUNTS).groupBy("k", "gram", "start", "fold", "toxic").agg(F.sum("n").alias("n")), "tox-grams")
-    told = [_told(sample.filter(F.col("fold") == f), Model(*terms(seen, f), None, prior)) for f in FOLDS]
+    *folded, final = terms(seen)
+    told = [_told(sample.filter(F.col("fold") == f), Model(*lists, None, prior)) for f, lists in zip(FOLDS, folded, strict=True)]
     # a row of four numbers for each text of the sample
     rows = told[0].unionAll(told[1]).unionAll(told[2]).toArrow()
     x, y = np.stack([rows[c].to_numpy() for c in ("x0", "x1", "x2")], 1), rows["y"].to_numpy().astype(float)
     keep = ~np.isnan(x[:, 0])
-    model = Model(*terms(seen, None), None, float(prior))
+    model = Model(*final, None, float(prior))
     if keep.sum() and 0 < y[keep].sum() < keep.sum():
         model.curve = fitted(x[keep], y[keep], np.where(y[keep] > 0, weight[1], weight[0]))
     return model
