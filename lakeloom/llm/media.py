@@ -8,8 +8,9 @@ the smallest, is the one that rows carry. So a payload with copies in every task
 a task, and no text is ever shuffled. Metadata columns are filled by reading only the first 33 bytes
 of a member; payload features read the member whole. A digest is read once, not once per row.
 
-Recovery: a shard has a name of its own per attempt and is complete before its rows are returned;
-the index holds rows of committed attempts only, so what a lost attempt wrote is never addressed.
+Recovery: a shard has a name of its own per attempt and is closed before its task ends. The index is a saved
+table, which holds rows of committed attempts only, and a task commits at its end; so every address is in a
+complete shard, and what a lost attempt wrote is never addressed. Its shards stay until the folder is cleared.
 
 Nulls and edge cases: a NULL or empty text is 192 spaces; equal texts have equal values; every row
 of the input gives one row, repeated rows too; a NULL doc_id is kept; an empty table gives no rows.
@@ -121,23 +122,25 @@ def write_shards(docs: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = None
-        for whole in batches:
-            for b in slices(whole, "text"):
-                data, offsets = buffers(b.column("text"))
-                raw, rows = data.tobytes(), []
-                for i in range(b.num_rows):
-                    own = raw[offsets[i] : offsets[i + 1]]
-                    payload = pad(own)
-                    shard = shard or _Shard(folder)
-                    digest = hashlib.sha256(payload).hexdigest()
-                    rows.append((len(own), digest, shard.uri, *shard.put(digest, payload)))
-                    if shard.at >= shard_bytes:
-                        shard.close()
-                        shard = None
-                n, d, u, o, s = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(d), pa.array(u), pa.array(o, pa.int64()), pa.array(s, pa.int64())], ["doc_id", "n_bytes", "digest", "shard", "offset", "length"])
-        if shard is not None:
-            shard.close()
+        try:
+            for whole in batches:
+                for b in slices(whole, "text"):
+                    data, offsets = buffers(b.column("text"))
+                    raw, rows = data.tobytes(), []
+                    for i in range(b.num_rows):
+                        own = raw[offsets[i] : offsets[i + 1]]
+                        payload = pad(own)
+                        shard = shard or _Shard(folder)
+                        digest = hashlib.sha256(payload).hexdigest()
+                        rows.append((len(own), digest, shard.uri, *shard.put(digest, payload)))
+                        if shard.at >= shard_bytes:
+                            shard.close()
+                            shard = None
+                    n, d, u, o, s = zip(*rows, strict=True)
+                    yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(d), pa.array(u), pa.array(o, pa.int64()), pa.array(s, pa.int64())], ["doc_id", "n_bytes", "digest", "shard", "offset", "length"])
+        finally:
+            if shard is not None:
+                shard.close()
 
     small_batches(docs.sparkSession)
     return saved(docs.select("doc_id", "text").mapInArrow(run, INDEX), "media-index")
