@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.llm import decontam, line_dedup, minhash, mixing, toxicity
-from lakeloom.llm.common import free_name, saved, table
+from lakeloom.llm.common import aside, free_name, saved, table
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,9 +24,11 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the repeated lines that another one keeps; n_chars follows the text."""
-    kept = line_dedup.dedup_lines(docs)
+    shielded, back = aside(docs, "_ld")
+    kept = line_dedup.dedup_lines(shielded)
     length = F.char_length("text").cast("long")
-    return kept.withColumn("n_chars", F.when(F.col("_ld_dropped") > 0, length).otherwise(F.col("n_chars"))).select(*docs.columns)
+    cut = kept.withColumn("n_chars", F.when(F.col("_ld_dropped") > 0, length).otherwise(F.col("n_chars")))
+    return cut.select(*shielded.columns).withColumnsRenamed(back)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
