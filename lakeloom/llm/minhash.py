@@ -289,10 +289,10 @@ def _sql(k: int = 4, similarity: int = 80) -> str:
     """All pairs that share a shingle, and what is reached from each document: for small tables."""
     return f"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
-s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(ws) >= {k} THEN list_transform(range(1, len(ws) - {k} + 2), lambda i: array_to_string(ws[i : i + {k - 1}], ' ')) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END)) AS x FROM w),
+s AS MATERIALIZED (SELECT doc_id, hash(unnest(list_distinct(CASE WHEN len(ws) >= {k} THEN list_transform(range(1, len(ws) - {k} + 2), lambda i: array_to_string(ws[i : i + {k - 1}], ' ')) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END))) AS x FROM w),
 sizes AS (SELECT doc_id, count(*)::BIGINT AS n FROM s GROUP BY doc_id),
-met AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
-links AS (SELECT u, v FROM met JOIN sizes p ON p.doc_id = u JOIN sizes q ON q.doc_id = v WHERE 100 * met.n >= {similarity} * (p.n + q.n - met.n)),
+met AS MATERIALIZED (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS MATERIALIZED (SELECT u, v FROM met JOIN sizes p ON p.doc_id = u JOIN sizes q ON q.doc_id = v WHERE 100 * met.n >= {similarity} * (p.n + q.n - met.n)),
 reach AS (SELECT doc_id AS u, doc_id AS v FROM documents UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u)
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c AS component_id, d.doc_id = c AS kept
 FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT u AS doc_id, min(v) AS c FROM reach GROUP BY u) USING (doc_id)"""
